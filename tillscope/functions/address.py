@@ -2,8 +2,9 @@
 
 Every function takes SQL expressions (usually column names) and returns a Column. The
 `*_sql` twins return the expression text, which is also the body of the registered SQL
-functions. Nothing here needs a Python worker, and nothing is a higher-order function,
-so the expressions stay inside whole-stage code generation.
+functions. Nothing here needs a Python worker, and nothing is a higher-order function or a
+regular expression on the path of an address, so the expressions stay inside whole-stage
+code generation.
 """
 
 from __future__ import annotations
@@ -11,27 +12,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Weight of each octet, most significant first.
-OCTET_WEIGHTS = (16777216, 65536, 256, 1)
-
 _OCTET = "(0{0,2}[0-9]|0?[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 _IPV4 = f"{_OCTET}([.]{_OCTET}){{3}}"
 _PREFIX = "(0?[0-9]|[12][0-9]|3[0-2])"
 
 
 def ip_to_long_sql(ip: str, *, strict: bool = False, null_as_zero: bool = False) -> str:
-    # Trailing dots do not open a further octet.
-    octets = f"split(rtrim('.', CAST({ip} AS STRING)), '\\\\.')"
-    terms = [
-        f"IF(size({octets}) > {i}, CAST(try_cast(get({octets}, {i}) AS INT) % 256 AS BIGINT), 0L)"
-        f" * {weight}L"
-        for i, weight in enumerate(OCTET_WEIGHTS)
+    # Trailing dots open no further octet, and missing octets count as 0.
+    padded = f"concat(rtrim('.', {ip}), '.0.0.0')"
+    octets = [f"substring_index({padded}, '.', 1)"] + [
+        f"substring_index(substring_index({padded}, '.', {i}), '.', -1)" for i in (2, 3, 4)
     ]
-    value = " + ".join(terms)
+    value = " + ".join(
+        f"CAST(try_cast({octet} AS INT) % 256 AS BIGINT) * {256 ** (3 - i)}L"
+        for i, octet in enumerate(octets)
+    )
     if strict:
-        error = f"CAST(raise_error(concat('not an IPv4 address: ', {ip})) AS BIGINT)"
-        value = f"coalesce({value}, {error})"
-    return f"IF({ip} IS NULL, {'0L' if null_as_zero else 'NULL'}, {value})"
+        error = f"raise_error(concat('not an IPv4 address: ', {ip}))"
+        value = f"IF({ip} IS NULL, NULL, coalesce({value}, CAST({error} AS BIGINT)))"
+    if null_as_zero:
+        value = f"IF({ip} IS NULL, 0L, {value})"
+    return f"({value})"
 
 
 def ip_to_long(ip: str, *, strict: bool = False, null_as_zero: bool = False) -> Column:
@@ -63,6 +64,15 @@ def network_of(n: str, prefix: str) -> Column:
     return F.expr(network_of_sql(n, prefix))
 
 
+def last_of_sql(first: str, prefix: str) -> str:
+    return f"({first} + shiftleft(1L, 32 - {prefix}) - 1L)"
+
+
+def last_of(first: str, prefix: str) -> Column:
+    """Last address of the block of length `prefix` that starts at `first`."""
+    return F.expr(last_of_sql(first, prefix))
+
+
 def cidr_prefix_sql(cidr: str) -> str:
     text = f"trim({cidr})"
     return f"IF({text} RLIKE '^{_IPV4}/{_PREFIX}$', CAST(split_part({text}, '/', 2) AS INT), NULL)"
@@ -73,9 +83,17 @@ def cidr_prefix(cidr: str) -> Column:
     return F.expr(cidr_prefix_sql(cidr))
 
 
+def cidr_address_sql(cidr: str) -> str:
+    return ip_to_long_sql(f"substring_index({cidr}, '/', 1)")
+
+
+def cidr_address(cidr: str) -> Column:
+    """The address before the slash, host bits included."""
+    return F.expr(cidr_address_sql(cidr))
+
+
 def cidr_first_sql(cidr: str, *, null_as_zero: bool = False) -> str:
-    address = ip_to_long_sql(f"split_part(trim({cidr}), '/', 1)")
-    value = network_of_sql(address, cidr_prefix_sql(cidr))
+    value = network_of_sql(cidr_address_sql(cidr), cidr_prefix_sql(cidr))
     return f"IF({cidr} IS NULL, 0L, {value})" if null_as_zero else value
 
 
@@ -85,7 +103,7 @@ def cidr_first(cidr: str, *, null_as_zero: bool = False) -> Column:
 
 
 def cidr_last_sql(cidr: str, *, null_as_zero: bool = False) -> str:
-    value = f"({cidr_first_sql(cidr)} + shiftleft(1L, 32 - {cidr_prefix_sql(cidr)}) - 1L)"
+    value = last_of_sql(cidr_first_sql(cidr), cidr_prefix_sql(cidr))
     return f"IF({cidr} IS NULL, 0L, {value})" if null_as_zero else value
 
 

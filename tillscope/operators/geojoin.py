@@ -21,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.functions import cidr_first, cidr_last, cidr_prefix, network_of
+from tillscope.functions import cidr_prefix, network_of
+from tillscope.functions.address import cidr_address, last_of
 
 # Entries below which the blocks are broadcast: about 100 MB in memory at this size.
 BROADCAST_ENTRIES = 1_000_000
@@ -51,16 +52,23 @@ def block_index(
 
     Counts the entries, so the blocks are read once at this point.
     """
-    ranges = blocks.withColumns(
-        {
-            "_len": cidr_prefix(network),
-            "_first": cidr_first(network),
-            "_last": cidr_last(network),
-        }
-    ).where(F.col("_len").isNotNull())
-    cell_size = 1 << (32 - _CELL_BITS)
-    entries = ranges.withColumn(
-        "_cell", F.explode(F.sequence("_first", "_last", F.lit(cell_size)))
+    ranges = (
+        blocks.withColumns({"_len": cidr_prefix(network), "_address": cidr_address(network)})
+        .withColumn("_first", network_of("_address", "_len"))
+        .withColumn("_last", last_of("_first", "_len"))
+    )
+    # All join columns come out of the generator: filters that the join infers on them stay
+    # above it and do not evaluate the text functions once more. No block, no cells, no row.
+    entries = ranges.select(
+        *blocks.columns,
+        F.inline(
+            F.transform(
+                F.sequence("_first", "_last", F.lit(1 << (32 - _CELL_BITS))),
+                lambda cell: F.struct(
+                    F.col("_len"), cell.alias("_cell"), F.col("_first"), F.col("_last")
+                ),
+            )
+        ),
     )
     shift = 32 - _PRESENCE_BITS
     presence = (
@@ -73,7 +81,8 @@ def block_index(
         .distinct()
         .select("_len", F.explode(F.sequence("lo", "hi")).alias("_area"))
         .groupBy("_area")
-        .agg(F.collect_set("_len").alias("_lens"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, _len)")).alias("mask"))
+        .select("_area", F.expr("filter(sequence(0, 32), i -> getbit(mask, i) = 1)").alias("_lens"))
     )
     small = entries.count() <= broadcast_entries
     return BlockIndex(entries, presence, tuple(blocks.columns), small)
@@ -81,7 +90,8 @@ def block_index(
 
 def _probe(addresses: DataFrame, index: BlockIndex, address: str) -> DataFrame:
     """One row per address and length that occurs near it, with the join key."""
-    area = F.shiftright(address, 32 - _PRESENCE_BITS)
+    # Never NULL, so that no filter on it is inferred and evaluates the address again.
+    area = F.coalesce(F.shiftright(address, 32 - _PRESENCE_BITS), F.lit(-1))
     near = addresses.join(F.broadcast(index.presence), area == F.col("_area"))
     return (
         near.withColumn("_len", F.explode("_lens"))
@@ -94,9 +104,9 @@ def _match(addresses: DataFrame, index: BlockIndex, address: str, bounds: str) -
     entries = F.broadcast(index.entries) if index.small else index.entries
     found = _probe(addresses, index, address).join(entries, ["_len", "_cell"])
     if bounds == "strict":
-        found = found.where(
-            (F.col(address) > F.col("_first")) & (F.col(address) < F.col("_last"))
-        )
+        inside = (F.col(address) > F.col("_first")) & (F.col(address) < F.col("_last"))
+        # As in `_probe`: no inferred filter that parses every address once more.
+        found = found.where(F.coalesce(inside, F.lit(False)))
     return found
 
 

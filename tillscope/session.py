@@ -28,6 +28,7 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
                 builder.config("spark.driver.host", "127.0.0.1")
                 .config("spark.driver.bindAddress", "127.0.0.1")
                 .config("spark.ui.enabled", "false")
+                .config("spark.ui.showConsoleProgress", "false")
             )
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)

@@ -47,14 +47,15 @@ def order_address(key: str) -> str:
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """name, price, ts, category (sometimes NULL), ip."""
-    return table(spark, sf_dir, "lineitem").select(
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.withColumn("address", F.expr(order_address("l_orderkey"))).select(
         F.expr("concat('product', l_partkey)").alias("name"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
         F.expr(
             "CASE WHEN l_partkey % 97 <> 13 THEN concat('category', l_suppkey % 25) END"
         ).alias("category"),
-        F.expr(long_to_ip_sql(order_address("l_orderkey"))).alias("ip"),
+        long_to_ip("address").alias("ip"),
     )
 
 
