@@ -26,6 +26,8 @@ def write_csv(
         .option("escape", "\\")
         .option("charToEscapeQuoteEscaping", "\\")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", max_records_per_file)
         .csv(path)
     )

@@ -7,16 +7,50 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillscope.functions import cidr_first, cidr_last, cidr_prefix
+from tillscope.functions.moments import parse_moment_sql
 from tillscope.sources import schemas
 
-MOMENT_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 REJECTED = "rejected_line"
 
-_TEXT_FIELDS = ("name", "category", "ip")
+def _field(i: int) -> str:
+    """Field i of a line that has it, without blanks around."""
+    return f"trim(BOTH ' \\t' FROM substring_index(substring_index(value, ',', {i + 1}), ',', -1))"
 
 
-def _with_field(schema: T.StructType, name: str) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(name, T.StringType())])
+def parse_purchases(
+    lines: DataFrame, *, strict: bool = False, keep_rejected: bool = False
+) -> DataFrame:
+    """Purchase lines `value` = `name,price,ts,category,ip` to typed columns.
+
+    A line with fewer fields, or with a price or time that does not parse, is dropped. It is
+    kept, with its text in `rejected_line` and no other value, with `keep_rejected`, and
+    fails the query with `strict`. Further fields are ignored and there is no quoting.
+    Which lines are good does not depend on the columns a query takes. Other columns of
+    `lines` are kept.
+    """
+    names = schemas.PURCHASES.names
+    parsed = {
+        name: f"try_cast({_field(i)} AS DOUBLE)"
+        if name == "price"
+        else parse_moment_sql(_field(i))
+        if name == "ts"
+        else _field(i)
+        for i, name in enumerate(names)
+    }
+    good = (
+        f"(substring_index(value, ',', {len(names) - 1}) <> value"
+        f" AND {parsed['price']} IS NOT NULL AND {parsed['ts']} IS NOT NULL)"
+    )
+    others = [c for c in lines.columns if c != "value"]
+    if keep_rejected:
+        return lines.select(
+            *[F.expr(f"IF({good}, {e}, NULL)").alias(n) for n, e in parsed.items()],
+            *others,
+            F.expr(f"IF({good}, NULL, value)").alias(REJECTED),
+        )
+    if strict:
+        good = f"IF({good}, true, CAST(raise_error(concat('not a purchase: ', value)) AS BOOLEAN))"
+    return lines.where(good).select(*[F.expr(e).alias(n) for n, e in parsed.items()], *others)
 
 
 def read_purchases(
@@ -27,60 +61,14 @@ def read_purchases(
     keep_rejected: bool = False,
     partitioned: bool = False,
 ) -> DataFrame:
-    """Purchase lines `name,price,ts,category,ip`, blanks around fields ignored.
+    """Purchases from text files; see `parse_purchases`.
 
-    A line with fewer fields, or with a price or time that does not parse, is dropped. It is
-    kept with its text in `rejected_line` (NULL on good lines) with `keep_rejected`, and
-    fails the query with `strict`, which also takes no further fields; else those are
-    ignored. Fields have no quoting, and an empty text field is '' as in the line.
     `partitioned` reads a `dt=yyyy-MM-dd` directory tree: dt becomes a string column, and
     filters on it prune directories.
-
-    All fields of a line are parsed whatever columns a query takes, so that every query
-    sees the same lines.
     """
-    schema = schemas.PURCHASES
-    if not strict:
-        schema = _with_field(schema, REJECTED)
-    names = list(schemas.PURCHASES.names)
-    if partitioned:
-        schema = _with_field(schema, "dt")
-        names.append("dt")
-    reader = (
-        spark.read.schema(schema)
-        .option("quote", "")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("timestampNTZFormat", MOMENT_FORMAT)
-    )
-    if strict:
-        lines = reader.option("mode", "FAILFAST").csv(path)
-    else:
-        lines = (
-            reader.option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", REJECTED)
-            .csv(path)
-        )
-        # Further fields alone also set the column, but leave the parsed values in place.
-        surplus = (
-            (F.size(F.split(REJECTED, ",")) > len(schemas.PURCHASES))
-            & F.col("price").isNotNull()
-            & F.col("ts").isNotNull()
-        )
-        lines = lines.withColumn(REJECTED, F.when(~surplus, F.col(REJECTED)))
-        if keep_rejected:
-            names.append(REJECTED)
-        else:
-            lines = lines.where(F.col(REJECTED).isNull())
-    filled = F.lit(True) if strict else F.col(REJECTED).isNull()
-    return lines.select(
-        *[
-            F.when(filled, F.coalesce(n, F.lit(""))).otherwise(F.col(n)).alias(n)
-            if n in _TEXT_FIELDS
-            else F.col(n)
-            for n in names
-        ]
-    )
+    schema = "value STRING, dt STRING" if partitioned else "value STRING"
+    lines = spark.read.schema(schema).text(path)
+    return parse_purchases(lines, strict=strict, keep_rejected=keep_rejected)
 
 
 def _flags_from_ints(df: DataFrame, schema: T.StructType) -> DataFrame:

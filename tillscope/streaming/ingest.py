@@ -37,7 +37,7 @@ def read_line_stream(
     path: str,
     *,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Lines (`value`) of the files that appear in a directory, bounded per batch."""
     reader = spark.readStream
