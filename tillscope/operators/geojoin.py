@@ -9,103 +9,140 @@ address for each length that may match:
    overlap it. It has at most 65,536 rows of at most 33 lengths, whatever the tables hold,
    and is broadcast. It reduces the probes of an address from all lengths in the table to
    the lengths found in its neighbourhood, and drops addresses near no block at once.
-2. Probes meet the blocks by equi-join. A block shorter than /12 is entered once for each
-   /12 it covers, so one join key stands for at most 2^20 different addresses and not for a
-   quarter of the address space.
+2. Probes meet the blocks by equi-join on one BIGINT. A block shorter than /12 is entered
+   once for each /12 it covers, so one join key stands for at most 2^20 different addresses
+   and not for a quarter of the address space. The blocks are broadcast if they have been
+   counted and are few; else both sides are shuffled by the key.
+
+A few addresses, such as a top-k, are the smaller side themselves. Their probes of all 33
+lengths are broadcast, and the blocks are scanned once without any preparation.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions import cidr_prefix, network_of
 from tillscope.functions.address import cidr_address, last_of
 
-# Entries below which the blocks are broadcast: about 100 MB in memory at this size.
+# Entries up to which the blocks are broadcast: about 100 MB in memory.
 BROADCAST_ENTRIES = 1_000_000
+# Addresses up to which their probes are broadcast: 33 rows each.
+BROADCAST_ADDRESSES = 10_000
 
 _PRESENCE_BITS = 16
 _CELL_BITS = 12
 
 
+def _key(cell: str | Column, prefix: str) -> Column:
+    """One BIGINT for a cell (32 bits) and a length (6 bits)."""
+    return F.shiftleft(cell, 6) + F.col(prefix)
+
+
 @dataclass(frozen=True)
 class BlockIndex:
     """Blocks prepared for `cidr_join`; reusable for any number of joins.
 
-    `entries` has the blocks' columns and _len, _cell, _first, _last. `small` says that the
-    entries were counted and may be broadcast.
+    `ranges` has the blocks' columns and _len, _first, _last, all NULL where the text is no
+    IPv4 block.
     """
 
-    entries: DataFrame
-    presence: DataFrame
+    ranges: DataFrame
     columns: tuple[str, ...]
-    small: bool
+    broadcast_entries: int
+
+    @cached_property
+    def entries(self) -> DataFrame:
+        """The blocks by join key: their columns and _key, _len, _first, _last."""
+        # All join columns come out of the generator: filters that the join infers on them
+        # stay above it and do not evaluate the text functions once more. No block, no cells,
+        # no row.
+        return self.ranges.select(
+            *self.columns,
+            F.inline(
+                F.transform(
+                    F.sequence("_first", "_last", F.lit(1 << (32 - _CELL_BITS))),
+                    lambda cell: F.struct(
+                        _key(cell, "_len").alias("_key"),
+                        F.col("_len"),
+                        F.col("_first"),
+                        F.col("_last"),
+                    ),
+                )
+            ),
+        )
+
+    @cached_property
+    def presence(self) -> DataFrame:
+        """_area and the lengths _lens of the blocks that overlap this /16."""
+        shift = 32 - _PRESENCE_BITS
+        return (
+            # Distinct before the expansion: copies of a short block are expanded once.
+            self.ranges.select(
+                "_len",
+                F.shiftright("_first", shift).alias("lo"),
+                F.shiftright("_last", shift).alias("hi"),
+            )
+            .distinct()
+            .select("_len", F.explode(F.sequence("lo", "hi")).alias("_area"))
+            .groupBy("_area")
+            .agg(F.bit_or(F.expr("shiftleft(1L, _len)")).alias("mask"))
+            .select(
+                "_area", F.expr("filter(sequence(0, 32), i -> getbit(mask, i) = 1)").alias("_lens")
+            )
+        )
+
+    @cached_property
+    def small(self) -> bool:
+        """Whether the entries may be broadcast. Counts them, so it reads the blocks."""
+        return self.entries.count() <= self.broadcast_entries
 
 
 def block_index(
     blocks: DataFrame, *, network: str = "network", broadcast_entries: int = BROADCAST_ENTRIES
 ) -> BlockIndex:
-    """Index of blocks by their CIDR text. Rows whose text is no IPv4 block drop out.
-
-    Counts the entries, so the blocks are read once at this point.
-    """
+    """Index of blocks by their CIDR text. Rows whose text is no IPv4 block match nothing."""
     ranges = (
         blocks.withColumns({"_len": cidr_prefix(network), "_address": cidr_address(network)})
         .withColumn("_first", network_of("_address", "_len"))
         .withColumn("_last", last_of("_first", "_len"))
+        .drop("_address")
     )
-    # All join columns come out of the generator: filters that the join infers on them stay
-    # above it and do not evaluate the text functions once more. No block, no cells, no row.
-    entries = ranges.select(
-        *blocks.columns,
-        F.inline(
-            F.transform(
-                F.sequence("_first", "_last", F.lit(1 << (32 - _CELL_BITS))),
-                lambda cell: F.struct(
-                    F.col("_len"), cell.alias("_cell"), F.col("_first"), F.col("_last")
-                ),
-            )
-        ),
-    )
-    shift = 32 - _PRESENCE_BITS
-    presence = (
-        # Distinct before the expansion: copies of a short block are expanded once.
-        ranges.select(
-            "_len",
-            F.shiftright("_first", shift).alias("lo"),
-            F.shiftright("_last", shift).alias("hi"),
-        )
-        .distinct()
-        .select("_len", F.explode(F.sequence("lo", "hi")).alias("_area"))
-        .groupBy("_area")
-        .agg(F.bit_or(F.expr("shiftleft(1L, _len)")).alias("mask"))
-        .select("_area", F.expr("filter(sequence(0, 32), i -> getbit(mask, i) = 1)").alias("_lens"))
-    )
-    small = entries.count() <= broadcast_entries
-    return BlockIndex(entries, presence, tuple(blocks.columns), small)
+    return BlockIndex(ranges, tuple(blocks.columns), broadcast_entries)
+
 
+def _with_key(probes: DataFrame, address: str) -> DataFrame:
+    cell = network_of(address, f"greatest(_len, {_CELL_BITS})")
+    return probes.withColumn("_key", _key(cell, "_len")).drop("_len")
 
-def _probe(addresses: DataFrame, index: BlockIndex, address: str) -> DataFrame:
+
+def _near(addresses: DataFrame, index: BlockIndex, address: str) -> DataFrame:
     """One row per address and length that occurs near it, with the join key."""
     # Never NULL, so that no filter on it is inferred and evaluates the address again.
     area = F.coalesce(F.shiftright(address, 32 - _PRESENCE_BITS), F.lit(-1))
     near = addresses.join(F.broadcast(index.presence), area == F.col("_area"))
-    return (
-        near.withColumn("_len", F.explode("_lens"))
-        .withColumn("_cell", network_of(address, f"greatest(_len, {_CELL_BITS})"))
-        .drop("_area", "_lens")
+    return _with_key(
+        near.withColumn("_len", F.explode("_lens")).drop("_area", "_lens"), address
     )
 
 
-def _match(addresses: DataFrame, index: BlockIndex, address: str, bounds: str) -> DataFrame:
-    entries = F.broadcast(index.entries) if index.small else index.entries
-    found = _probe(addresses, index, address).join(entries, ["_len", "_cell"])
+def _match(
+    addresses: DataFrame, index: BlockIndex, address: str, bounds: str, at_most: int | None
+) -> DataFrame:
+    if at_most is not None and at_most <= BROADCAST_ADDRESSES:
+        lengths = F.explode(F.sequence(F.lit(0), F.lit(32)))
+        probes = _with_key(addresses.withColumn("_len", lengths), address)
+        found = index.entries.join(F.broadcast(probes), "_key")
+    else:
+        entries = F.broadcast(index.entries) if index.small else index.entries
+        found = _near(addresses, index, address).join(entries, "_key")
     if bounds == "strict":
         inside = (F.col(address) > F.col("_first")) & (F.col(address) < F.col("_last"))
-        # As in `_probe`: no inferred filter that parses every address once more.
+        # As in `_near`: no inferred filter that parses every address once more.
         found = found.where(F.coalesce(inside, F.lit(False)))
     return found
 
@@ -118,6 +155,7 @@ def cidr_join(
     bounds: str = "inclusive",
     match: str = "all",
     unique: bool = False,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Inner join of addresses to blocks: the columns of both.
 
@@ -125,6 +163,8 @@ def cidr_join(
     `match` is 'all' for every block that holds the address, or 'longest' for the most
     specific one (the least row of it, should the network occur twice). `unique` promises
     that every row of `addresses` has a different address, which saves 'longest' a join.
+    `at_most` is a bound on the rows of `addresses` that holds whatever the data, such as
+    its limit.
     """
     if bounds not in ("inclusive", "strict"):
         raise ValueError(f"unknown bounds: {bounds}")
@@ -135,16 +175,16 @@ def cidr_join(
         raise ValueError(f"columns on both sides: {sorted(clash)}")
 
     if match == "all":
-        found = _match(addresses, index, address, bounds)
+        found = _match(addresses, index, address, bounds, at_most)
         return found.select(*addresses.columns, *index.columns)
 
     keys = addresses if unique else addresses.select(address).distinct()
-    block = F.struct(*index.columns)
+    # Least of (-length, row): lengths compare first, then the row breaks ties.
+    ranked = F.struct((-F.col("_len")).alias("_order"), F.struct(*index.columns).alias("_row"))
     best = (
-        _match(keys, index, address, bounds)
+        _match(keys, index, address, bounds, at_most)
         .groupBy(*keys.columns)
-        # Least of (-length, row): lengths compare first, then the row breaks ties.
-        .agg(F.min(F.struct((-F.col("_len")).alias("_order"), block.alias("_row"))).alias("_best"))
+        .agg(F.min(ranked).alias("_best"))
         .select(*keys.columns, "_best._row.*")
     )
     return best if unique else addresses.join(best, address)

@@ -42,7 +42,7 @@ def top_products_per_category(purchases: DataFrame, k: int = 10) -> DataFrame:
 
 def top_ips(purchases: DataFrame, k: int | None = 10) -> DataFrame:
     """Addresses that spend most: ip, sump."""
-    return top_k(spend_by_ip(purchases).select("ip", "sump"), "sump", "ip", k=k)
+    return top_k(spend_by_ip(purchases), "sump", "ip", k=k).select("ip", "sump")
 
 
 def geo_blocks(blocks: DataFrame) -> BlockIndex:
@@ -66,8 +66,10 @@ def top_ip_countries(
     known country drop out before the final k are taken.
     """
     index = blocks if isinstance(blocks, BlockIndex) else geo_blocks(blocks)
-    spenders = top_k(spend_by_ip(purchases), "sump", "ip", k=pre_k)
-    placed = cidr_join(spenders, index, bounds=bounds, match=match).join(
+    # The text is parsed after the cut, for the addresses that are left. Two texts may mean
+    # one address, so the addresses are not unique.
+    spenders = top_ips(purchases, pre_k).withColumn("ip_long", ip_to_long("ip"))
+    placed = cidr_join(spenders, index, bounds=bounds, match=match, at_most=pre_k).join(
         countries.select("geoname_id", "country_name"), "geoname_id"
     )
     return top_k(
