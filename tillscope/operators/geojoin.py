@@ -76,6 +76,11 @@ class BlockIndex:
             ),
         )
 
+    @cached_property
+    def leading(self) -> DataFrame:
+        """One row by join key, the least of the blocks' columns in their order: _key, _row."""
+        return self.entries.groupBy("_key").agg(F.min(F.struct(*self.columns)).alias("_row"))
+
     @cached_property
     def presence(self) -> DataFrame:
         """_area and the lengths _lens of the blocks that overlap this /16."""
@@ -130,16 +135,24 @@ def _near(addresses: DataFrame, index: BlockIndex, address: str) -> DataFrame:
     )
 
 
+def _join_keyed(
+    probes: DataFrame, blocks: DataFrame, index: BlockIndex, few: bool
+) -> DataFrame:
+    """Equi-join on _key, with whichever side is known to be small broadcast."""
+    if few:
+        return blocks.join(F.broadcast(probes), "_key")
+    return probes.join(F.broadcast(blocks) if index.small else blocks, "_key")
+
+
 def _match(
-    addresses: DataFrame, index: BlockIndex, address: str, bounds: str, at_most: int | None
+    addresses: DataFrame, index: BlockIndex, address: str, bounds: str, few: bool
 ) -> DataFrame:
-    if at_most is not None and at_most <= BROADCAST_ADDRESSES:
+    if few:
         lengths = F.explode(F.sequence(F.lit(0), F.lit(32)))
         probes = _with_key(addresses.withColumn("_len", lengths), address)
-        found = index.entries.join(F.broadcast(probes), "_key")
     else:
-        entries = F.broadcast(index.entries) if index.small else index.entries
-        found = _near(addresses, index, address).join(entries, "_key")
+        probes = _near(addresses, index, address)
+    found = _join_keyed(probes, index.entries, index, few)
     if bounds == "strict":
         inside = (F.col(address) > F.col("_first")) & (F.col(address) < F.col("_last"))
         # As in `_near`: no inferred filter that parses every address once more.
@@ -174,17 +187,20 @@ def cidr_join(
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
 
+    few = at_most is not None and at_most <= BROADCAST_ADDRESSES
     if match == "all":
-        found = _match(addresses, index, address, bounds, at_most)
+        found = _match(addresses, index, address, bounds, few)
         return found.select(*addresses.columns, *index.columns)
 
+    # The greatest length found names the network, as an address lies in one of each length.
+    # Only then is its row looked up, so what is aggregated is one integer per address.
     keys = addresses if unique else addresses.select(address).distinct()
-    # Least of (-length, row): lengths compare first, then the row breaks ties.
-    ranked = F.struct((-F.col("_len")).alias("_order"), F.struct(*index.columns).alias("_row"))
-    best = (
-        _match(keys, index, address, bounds, at_most)
+    longest = (
+        _match(keys, index, address, bounds, few)
         .groupBy(*keys.columns)
-        .agg(F.min(ranked).alias("_best"))
-        .select(*keys.columns, "_best._row.*")
+        .agg(F.max("_len").alias("_len"))
+    )
+    best = _join_keyed(_with_key(longest, address), index.leading, index, few).select(
+        *keys.columns, "_row.*"
     )
     return best if unique else addresses.join(best, address)
