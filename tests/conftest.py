@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -8,7 +9,7 @@ sys.path.insert(0, str(ROOT))
 
 from tillscope.session import build_session  # noqa: E402
 
-TESTDATA = "/root/testdata/sf0.001"
+TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")

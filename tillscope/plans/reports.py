@@ -1,8 +1,15 @@
 """The ranking reports. Purchases have name, price, category and ip; blocks have network
-and geoname_id; countries have geoname_id and country_name."""
+and geoname_id; countries have geoname_id and country_name.
+
+Every report is an aggregate of the purchases and a ranking of that aggregate. The `rank_*`
+functions take the aggregate, so that several reports can share one.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,37 +19,50 @@ from tillscope.operators import (
     block_index,
     cidr_join,
     count_by,
-    spend_by_ip,
     top_k,
     top_k_per_group,
 )
+from tillscope.operators.aggregates import cents_by_ip
+
+
+def rank_categories(counts: DataFrame, k: int | None = 10) -> DataFrame:
+    return top_k(counts.select("category", "cnt"), "cnt", "category", k=k)
+
+
+def rank_products(counts: DataFrame, k: int | None = 10) -> DataFrame:
+    """Of counts by (name, category). Joining them to the list of categories has only one
+    effect, to drop those without a category, so a filter takes its place."""
+    known = counts.where(F.col("category").isNotNull())
+    return top_k(known.select("name", "category", "cnt"), "cnt", "name", "category", k=k)
+
+
+def rank_products_per_category(counts: DataFrame, k: int = 10) -> DataFrame:
+    known = counts.where(F.col("category").isNotNull())
+    return top_k_per_group(known.select("category", "name", "cnt"), "category", "cnt", "name", k=k)
+
+
+def rank_ips(cents: DataFrame, k: int | None = 10) -> DataFrame:
+    return top_k(cents, "cents", "ip", k=k).select("ip", money_of("cents").alias("sump"))
 
 
 def top_categories(purchases: DataFrame, k: int | None = 10) -> DataFrame:
     """Categories with the most purchases: category, cnt."""
-    return top_k(count_by(purchases, "category"), "cnt", "category", k=k)
+    return rank_categories(count_by(purchases, "category"), k)
 
 
 def top_products(purchases: DataFrame, k: int | None = 10) -> DataFrame:
-    """Products with the most purchases, with their category: name, category, cnt.
-
-    Joining the counts to the list of categories has only one effect, to drop purchases
-    without a category, so a filter takes its place.
-    """
-    known = purchases.where(F.col("category").isNotNull())
-    return top_k(count_by(known, "name", "category"), "cnt", "name", "category", k=k)
+    """Products with the most purchases, with their category: name, category, cnt."""
+    return rank_products(count_by(purchases, "name", "category"), k)
 
 
 def top_products_per_category(purchases: DataFrame, k: int = 10) -> DataFrame:
     """The k most purchased products of each category: category, name, cnt, rank."""
-    known = purchases.where(F.col("category").isNotNull())
-    counts = count_by(known, "category", "name")
-    return top_k_per_group(counts, "category", "cnt", "name", k=k)
+    return rank_products_per_category(count_by(purchases, "name", "category"), k)
 
 
 def top_ips(purchases: DataFrame, k: int | None = 10) -> DataFrame:
     """Addresses that spend most: ip, sump."""
-    return top_k(spend_by_ip(purchases), "sump", "ip", k=k).select("ip", "sump")
+    return rank_ips(cents_by_ip(purchases), k)
 
 
 def geo_blocks(blocks: DataFrame) -> BlockIndex:
@@ -50,28 +70,27 @@ def geo_blocks(blocks: DataFrame) -> BlockIndex:
     return block_index(blocks.select("network", "geoname_id"))
 
 
-def top_ip_countries(
-    purchases: DataFrame,
+def _index(blocks: DataFrame | BlockIndex) -> BlockIndex:
+    return blocks if isinstance(blocks, BlockIndex) else geo_blocks(blocks)
+
+
+def place_ips(
+    spenders: DataFrame,
     blocks: DataFrame | BlockIndex,
     countries: DataFrame,
     *,
-    pre_k: int | None = 100,
+    at_most: int | None,
     k: int | None = 10,
     bounds: str = "inclusive",
     match: str = "all",
 ) -> DataFrame:
-    """Top spenders with their country: sump, ip, geoname_id, country_name, network.
-
-    Only the `pre_k` addresses that spend most are looked up, and those in no block of a
-    known country drop out before the final k are taken.
-    """
-    index = blocks if isinstance(blocks, BlockIndex) else geo_blocks(blocks)
-    # The text is parsed after the cut, for the addresses that are left. Two texts may mean
-    # one address, so the addresses are not unique.
-    spenders = top_ips(purchases, pre_k).withColumn("ip_long", ip_to_long("ip"))
-    placed = cidr_join(spenders, index, bounds=bounds, match=match, at_most=pre_k).join(
-        countries.select("geoname_id", "country_name"), "geoname_id"
-    )
+    """Top addresses (ip, sump; no more than `at_most`) with their country."""
+    # The text is parsed for the addresses that are left. Two texts may mean one address,
+    # so the addresses are not unique.
+    addresses = spenders.withColumn("ip_long", ip_to_long("ip"))
+    placed = cidr_join(
+        addresses, _index(blocks), bounds=bounds, match=match, at_most=at_most
+    ).join(countries.select("geoname_id", "country_name"), "geoname_id")
     return top_k(
         placed.select("sump", "ip", "geoname_id", "country_name", "network"),
         "sump",
@@ -82,31 +101,37 @@ def top_ip_countries(
     )
 
 
-def cents_by_country(
+def top_ip_countries(
     purchases: DataFrame,
-    index: BlockIndex,
+    blocks: DataFrame | BlockIndex,
+    countries: DataFrame,
     *,
+    pre_k: int | None = 100,
+    k: int | None = 10,
     bounds: str = "inclusive",
     match: str = "all",
 ) -> DataFrame:
-    """Cents spent per geoname_id.
+    """Top spenders with their country: sump, ip, geoname_id, country_name, network.
 
-    With small blocks every purchase is looked up where it is read, and what is shuffled is
-    one row per country and task. With large ones the purchases are first summed by address,
-    so that the join shuffles each address once.
+    Only the `pre_k` addresses that spend most are looked up, and those in no block of a
+    known country drop out before the final k are taken.
     """
-    if index.small and match == "all":
-        spend = purchases.select(
-            ip_to_long("ip").alias("ip_long"), cents_of("price").alias("cents")
-        )
-    else:
-        spend = (
-            purchases.select(ip_to_long("ip").alias("ip_long"), cents_of("price").alias("cents"))
-            .groupBy("ip_long")
-            .agg(F.sum("cents").alias("cents"))
-        )
-    placed = cidr_join(spend, index, bounds=bounds, match=match, unique=True)
-    return placed.groupBy("geoname_id").agg(F.sum("cents").alias("cents"))
+    spenders = top_ips(purchases, pre_k)
+    return place_ips(
+        spenders, blocks, countries, at_most=pre_k, k=k, bounds=bounds, match=match
+    )
+
+
+def rank_countries(placed: DataFrame, countries: DataFrame, k: int | None = 10) -> DataFrame:
+    """Of rows (geoname_id, cents), however many for a country."""
+    # Summed by id first, so that the names meet one row per country.
+    spend = placed.groupBy("geoname_id").agg(F.sum("cents").alias("cents"))
+    by_name = (
+        spend.join(countries.select("geoname_id", "country_name"), "geoname_id")
+        .groupBy("country_name")
+        .agg(money_of(F.sum("cents")).alias("sump"))
+    )
+    return top_k(by_name, "sump", "country_name", k=k)
 
 
 def top_countries(
@@ -121,25 +146,66 @@ def top_countries(
     """Countries that spend most, over all addresses: country_name, sump.
 
     A purchase counts for every block that holds its address; with match='longest' it counts
-    once.
+    once. With small blocks every purchase is looked up where it is read, and what is
+    shuffled is one row per country and task. Else the purchases are first summed by address,
+    so that the join shuffles each address once.
     """
-    index = blocks if isinstance(blocks, BlockIndex) else geo_blocks(blocks)
-    spend = cents_by_country(purchases, index, bounds=bounds, match=match)
-    by_name = (
-        spend.join(countries.select("geoname_id", "country_name"), "geoname_id")
-        .groupBy("country_name")
-        .agg(money_of(F.sum("cents")).alias("sump"))
-    )
-    return top_k(by_name, "sump", "country_name", k=k)
+    index = _index(blocks)
+    spend = purchases.select(ip_to_long("ip").alias("ip_long"), cents_of("price").alias("cents"))
+    if match != "all" or not index.small:
+        spend = spend.groupBy("ip_long").agg(F.sum("cents").alias("cents"))
+    placed = cidr_join(spend, index, bounds=bounds, match=match, unique=True)
+    return rank_countries(placed, countries, k)
+
 
+@dataclass(frozen=True)
+class ReportSet:
+    """All reports over two shared aggregates. Call `release` when they have been used."""
 
-__all__ = [
-    "cents_by_country",
-    "geo_blocks",
-    "top_categories",
-    "top_countries",
-    "top_ip_countries",
-    "top_ips",
-    "top_products",
-    "top_products_per_category",
-]
+    frames: dict[str, DataFrame]
+    shared: tuple[DataFrame, ...]
+
+    def release(self) -> None:
+        for aggregate in self.shared:
+            aggregate.unpersist()
+
+
+def all_reports(
+    purchases: DataFrame,
+    blocks: DataFrame | BlockIndex,
+    countries: DataFrame,
+    *,
+    k: int = 10,
+    pre_k: int = 100,
+    bounds: str = "inclusive",
+    match: str = "all",
+) -> ReportSet:
+    """Every report, from two passes over the purchases in place of one for each.
+
+    The counts by (name, category) and the cents by address are kept on the executors,
+    spilling to disk; they are what all six reports are ranked from.
+    """
+    index = _index(blocks)
+    counts = count_by(purchases, "name", "category").persist(StorageLevel.MEMORY_AND_DISK)
+    cents = cents_by_ip(purchases).persist(StorageLevel.MEMORY_AND_DISK)
+    by_category = counts.groupBy("category").agg(F.sum("cnt").alias("cnt"))
+    # Texts that mean one address are brought together, as a lookup per text would do.
+    by_address = cents.groupBy("ip_long").agg(F.sum("cents").alias("cents"))
+    placed = cidr_join(by_address, index, bounds=bounds, match=match, unique=True)
+    frames = {
+        "top_categories": rank_categories(by_category, k),
+        "top_products": rank_products(counts, k),
+        "top_products_per_category": rank_products_per_category(counts, k),
+        "top_ips": rank_ips(cents, k),
+        "top_ip_countries": place_ips(
+            rank_ips(cents, pre_k),
+            index,
+            countries,
+            at_most=pre_k,
+            k=k,
+            bounds=bounds,
+            match=match,
+        ),
+        "top_countries": rank_countries(placed, countries, k),
+    }
+    return ReportSet(frames, (counts, cents))
