@@ -51,7 +51,10 @@ def test_scans_read_only_the_columns_they_need(spark, sf_dir):
 
 def test_addresses_are_parsed_once(spark, sf_dir):
     """No inferred filter repeats the parse below the aggregation or at the scan."""
-    for name in ("geo_join_inclusive", "geo_join_strict", "top_ip_countries", "top_countries"):
+    for name in (
+        "range_filter", "geo_join_inclusive", "geo_join_strict", "top_ip_countries",
+        "top_countries",
+    ):
         plan = _plan(QUERIES[name](spark, sf_dir))
         assert not [
             line for line in plan.splitlines() if " Filter" in line and "substring_index" in line

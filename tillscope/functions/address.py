@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OCTET = "(0{0,2}[0-9]|0?[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
-_IPV4 = f"{_OCTET}([.]{_OCTET}){{3}}"
-_PREFIX = "(0?[0-9]|[12][0-9]|3[0-2])"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+_IPV4 = f"{_OCTET}(?:[.]{_OCTET}){{3}}"
+_CIDR = f"^ *{_IPV4}/(3[0-2]|[0-2]?[0-9]) *$"
 
 
 def ip_to_long_sql(ip: str, *, strict: bool = False, null_as_zero: bool = False) -> str:
@@ -56,7 +56,7 @@ def long_to_ip(n: str) -> Column:
 
 
 def network_of_sql(n: str, prefix: str) -> str:
-    return f"shiftleft(shiftright({n}, 32 - {prefix}), 32 - {prefix})"
+    return f"({n} & shiftleft(-1L, 32 - {prefix}))"
 
 
 def network_of(n: str, prefix: str) -> Column:
@@ -64,18 +64,17 @@ def network_of(n: str, prefix: str) -> Column:
     return F.expr(network_of_sql(n, prefix))
 
 
-def last_of_sql(first: str, prefix: str) -> str:
-    return f"({first} + shiftleft(1L, 32 - {prefix}) - 1L)"
+def last_of_sql(n: str, prefix: str) -> str:
+    return f"({n} | (shiftleft(1L, 32 - {prefix}) - 1L))"
 
 
-def last_of(first: str, prefix: str) -> Column:
-    """Last address of the block of length `prefix` that starts at `first`."""
-    return F.expr(last_of_sql(first, prefix))
+def last_of(n: str, prefix: str) -> Column:
+    """Last address of the block of length `prefix` that holds `n`."""
+    return F.expr(last_of_sql(n, prefix))
 
 
 def cidr_prefix_sql(cidr: str) -> str:
-    text = f"trim({cidr})"
-    return f"IF({text} RLIKE '^{_IPV4}/{_PREFIX}$', CAST(split_part({text}, '/', 2) AS INT), NULL)"
+    return f"try_cast(regexp_extract({cidr}, '{_CIDR}', 1) AS INT)"
 
 
 def cidr_prefix(cidr: str) -> Column:
@@ -103,7 +102,7 @@ def cidr_first(cidr: str, *, null_as_zero: bool = False) -> Column:
 
 
 def cidr_last_sql(cidr: str, *, null_as_zero: bool = False) -> str:
-    value = last_of_sql(cidr_first_sql(cidr), cidr_prefix_sql(cidr))
+    value = last_of_sql(cidr_address_sql(cidr), cidr_prefix_sql(cidr))
     return f"IF({cidr} IS NULL, 0L, {value})" if null_as_zero else value
 
 
@@ -113,8 +112,10 @@ def cidr_last(cidr: str, *, null_as_zero: bool = False) -> Column:
 
 
 def cidr_contains_sql(ip: str, cidr: str) -> str:
-    address = f"IF(trim({ip}) RLIKE '^{_IPV4}$', {ip_to_long_sql(f'trim({ip})')}, NULL)"
-    return f"({address} BETWEEN {cidr_first_sql(cidr)} AND {cidr_last_sql(cidr)})"
+    # The address lies in the block if no bit of the prefix differs.
+    address = f"IF({ip} RLIKE '^ *{_IPV4} *$', {ip_to_long_sql(ip)}, NULL)"
+    difference = f"{address} ^ {cidr_address_sql(cidr)}"
+    return f"(shiftright({difference}, 32 - {cidr_prefix_sql(cidr)}) = 0L)"
 
 
 def cidr_contains(ip: str, cidr: str) -> Column:

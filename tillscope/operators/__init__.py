@@ -6,6 +6,7 @@ from tillscope.operators.aggregates import (
     spend_by_ip_long,
     with_category_total,
 )
+from tillscope.operators.computed import compute_once
 from tillscope.operators.geojoin import BlockIndex, block_index, cidr_join
 from tillscope.operators.ranking import top_k, top_k_per_group
 
@@ -13,6 +14,7 @@ __all__ = [
     "BlockIndex",
     "block_index",
     "cidr_join",
+    "compute_once",
     "count_by",
     "spend_by_ip",
     "spend_by_ip_long",

@@ -114,7 +114,7 @@ def block_index(
     ranges = (
         blocks.withColumns({"_len": cidr_prefix(network), "_address": cidr_address(network)})
         .withColumn("_first", network_of("_address", "_len"))
-        .withColumn("_last", last_of("_first", "_len"))
+        .withColumn("_last", last_of("_address", "_len"))
         .drop("_address")
     )
     return BlockIndex(ranges, tuple(blocks.columns), broadcast_entries)

@@ -23,6 +23,7 @@ from tillscope.functions import (
 from tillscope.functions.address import cidr_first_sql, cidr_last_sql, long_to_ip_sql
 from tillscope.operators import (
     cidr_join,
+    compute_once,
     count_by,
     spend_by_ip,
     spend_by_ip_long,
@@ -93,7 +94,7 @@ def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_registered
 def range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = startables.purchases(spark, sf_dir).withColumn("ip_long", ip_to_long("ip"))
+    rows = compute_once(startables.purchases(spark, sf_dir), "ip_long", ip_to_long("ip"))
     return rows.where(
         (F.col("ip_long") > cidr_first("'96.0.0.0/3'"))
         & (F.col("ip_long") < cidr_last("'96.0.0.0/3'"))
