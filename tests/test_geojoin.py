@@ -108,6 +108,44 @@ def test_repeated_addresses_are_kept(spark, join_mode, match):
     assert counts == expected
 
 
+def test_hot_address_is_split_in_the_shuffle(spark):
+    """A third of all rows on one join key: Spark cuts its partition into several tasks."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    index = block_index(
+        spark.range(200).select(
+            F.format_string("%d.0.0.0/8", "id").alias("network"), F.col("id").alias("g")
+        ),
+        broadcast_entries=0,
+    )
+    rows = spark.range(0, 60_000, 1, 8).select(
+        "id",
+        F.expr("IF(id % 3 = 0, 167772161L, pmod(xxhash64(id), 200L * 16777216))").alias("ip_long"),
+    )
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        joined = cidr_join(rows, index)
+        assert joined.where("g = 10").count() > 20_000
+        assert joined.agg(F.count("id")).first()[0] == 60_000
+        counted = joined.groupBy("g").agg(F.count("id"))
+        counted.collect()
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def test_no_join_key_stands_for_a_large_part_of_the_space(spark):
     index = block_index(
         spark.createDataFrame([("0.0.0.0/0", 1), ("64.0.0.0/10", 2)], "network STRING, g LONG")
