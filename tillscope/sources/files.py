@@ -8,13 +8,14 @@ from pyspark.sql import types as T
 
 from tillscope.functions import cidr_first, cidr_last, cidr_prefix
 from tillscope.functions.moments import parse_moment_sql
+from tillscope.operators.computed import compute_once
 from tillscope.sources import schemas
 
 REJECTED = "rejected_line"
 
-def _field(i: int) -> str:
-    """Field i of a line that has it, without blanks around."""
-    return f"trim(BOTH ' \\t' FROM substring_index(substring_index(value, ',', {i + 1}), ',', -1))"
+def _text(i: int) -> str:
+    """Field i without blanks around."""
+    return f"trim(BOTH ' \\t' FROM get(_fields, {i}))"
 
 
 def parse_purchases(
@@ -28,29 +29,32 @@ def parse_purchases(
     Which lines are good does not depend on the columns a query takes. Other columns of
     `lines` are kept.
     """
-    names = schemas.PURCHASES.names
-    parsed = {
-        name: f"try_cast({_field(i)} AS DOUBLE)"
-        if name == "price"
-        else parse_moment_sql(_field(i))
-        if name == "ts"
-        else _field(i)
-        for i, name in enumerate(names)
-    }
+    # Every good line needs the fields, the price and the time, so each is computed once.
+    fields = compute_once(lines, "_fields", F.split("value", ","))
+    typed = F.struct(
+        F.expr("try_cast(get(_fields, 1) AS DOUBLE)").alias("price"),
+        F.expr(parse_moment_sql("get(_fields, 2)")).alias("ts"),
+    )
+    parsed = fields.select("*", F.inline(F.array(typed)))
     good = (
-        f"(substring_index(value, ',', {len(names) - 1}) <> value"
-        f" AND {parsed['price']} IS NOT NULL AND {parsed['ts']} IS NOT NULL)"
+        f"(size(_fields) >= {len(schemas.PURCHASES)} AND price IS NOT NULL AND ts IS NOT NULL)"
     )
+    columns = {
+        name: name if name in ("price", "ts") else _text(i)
+        for i, name in enumerate(schemas.PURCHASES.names)
+    }
     others = [c for c in lines.columns if c != "value"]
     if keep_rejected:
-        return lines.select(
-            *[F.expr(f"IF({good}, {e}, NULL)").alias(n) for n, e in parsed.items()],
+        return parsed.select(
+            *[F.expr(f"IF({good}, {e}, NULL)").alias(n) for n, e in columns.items()],
             *others,
             F.expr(f"IF({good}, NULL, value)").alias(REJECTED),
         )
     if strict:
         good = f"IF({good}, true, CAST(raise_error(concat('not a purchase: ', value)) AS BOOLEAN))"
-    return lines.where(good).select(*[F.expr(e).alias(n) for n, e in parsed.items()], *others)
+    return parsed.where(good).select(
+        *[F.expr(e).alias(n) for n, e in columns.items()], *others
+    )
 
 
 def read_purchases(
