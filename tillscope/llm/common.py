@@ -43,6 +43,15 @@ def spaced_words(text) -> Column:
     return split_words(whole_text(text), SPACE)
 
 
+def let(value: Column, use) -> Column:
+    """`use(value)` with the value computed once, wherever and however often it is used.
+
+    A lambda over an expression computes that expression again for every element; over the
+    variable of this lambda it does not.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the operator's own names, so others cannot clash with them."""
     return df.select(*[F.col(f"`{theirs}`").alias(own) for own, theirs in columns.items()])

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tillscope.llm import simhash
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from tillscope.llm import bpe, quality, simhash
 from tillscope.llm.common import table
 
 QUERIES = {}
@@ -13,6 +16,24 @@ def registered(query):
     return query
 
 
+@registered
+def op5_quality_rules(spark, sf_dir):
+    rows = quality.measured(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "_quality.*")
+
+
 @registered
 def op6_simhash_near_dedup(spark, sf_dir):
     return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_bpe_round_trip(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    back = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return back.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
