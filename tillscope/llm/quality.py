@@ -8,12 +8,13 @@ table, so they follow the corpus; the list of common words is fixed.
 
 from __future__ import annotations
 
+import string
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import let, spaced_words, whole_text
+from tillscope.llm.common import let, saved, spaced_words, whole_text
 
 #: Very common words of each reference language.
 COMMON_WORDS = {
@@ -23,26 +24,30 @@ COMMON_WORDS = {
     "fr": "de la le et les des en un une que est pour par dans sur qui pas au avec du",
 }
 BINS = sorted({word for words in COMMON_WORDS.values() for word in words.split()})
-#: Classes of characters; what none of them takes is the last class.
-CLASSES = ["a-z", "A-Z", "0-9", r"\s", r".,;:!?'\"()\-", r"#*$%&|<>"]
+#: Classes of characters. White space, bytes beyond one a character and the rest follow from
+#: lengths.
+CLASSES = [string.ascii_uppercase, string.digits, ".,;:!?'\"()-", "#*$%&|<>"]
+N_CLASSES = len(CLASSES) + 3
 
 #: Fewest words of a document, and most words in repeated windows per hundred.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Fewest words for a verdict by distance: shorter histograms say too little.
 LEAST_FOR_CLASSES, LEAST_FOR_WORDS = 50, 100
-#: Largest distance from the nearest reference.
-MOST_BY_CLASS, MOST_BY_WORD = 0.30, 0.55
+#: Largest distance from the nearest reference, by each histogram and by their sum.
+MOST_BY_CLASS, MOST_BY_WORD, MOST_BY_BOTH = 0.30, 0.40, 0.45
 #: Shares are whole billionths, so their sums do not depend on the order of the rows.
 UNIT = 1_000_000_000
 
 
-def _total(values: Column) -> Column:
+def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
-def class_counts(text: Column) -> Column:
-    found = [F.length(F.regexp_replace(text, f"[^{c}]+", "")).cast("long") for c in CLASSES]
-    return F.array(*found, F.length(text).cast("long") - reduce(Column.__add__, found))
+def class_counts(text: Column, word_chars: Column) -> Column:
+    """Bytes of the text by class."""
+    whole, n = F.octet_length(text), F.length(text)
+    found = [n - F.length(F.translate(text, c, "")) for c in CLASSES] + [n - word_chars, whole - n]
+    return F.transform(F.array(*found, whole - reduce(Column.__add__, found)), lambda x: x.cast("long"))
 
 
 def word_counts(words: Column) -> Column:
@@ -69,19 +74,20 @@ def word_counts(words: Column) -> Column:
 
 
 def word_windows(words: Column) -> Column:
-    """Every three consecutive words, joined."""
+    """A 64-bit hash of every three consecutive words. Two windows of one text that differ share
+    a hash once in some 10^11 texts of 20,000 words."""
     return F.when(
         F.size(words) >= 3,
         F.transform(
             F.slice(words, F.lit(1), F.size(words) - 2),
-            lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)),
+            lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)),
         ),
-    ).otherwise(F.array().cast("array<string>"))
+    ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _covered(windows: Column) -> Column:
+def covered(windows: Column) -> Column:
     """Words that lie in a window found twice or more: windows are sorted with their places, and
-    the places of those equal to a neighbour cover the words."""
+    the places of those equal to a neighbour cover the words. Without repeats nothing is sorted."""
 
     def twins(placed: Column) -> Column:
         def repeated(x: Column, k: Column) -> Column:
@@ -95,42 +101,57 @@ def _covered(windows: Column) -> Column:
             places, lambda at, k: F.least(F.lit(3), F.coalesce(F.get(places, k + 1), at + 3) - at).cast("long")
         )
 
-    placed = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    return let(placed, lambda p: let(twins(p), lambda places: _total(lengths(places))))
+    def counted(windows: Column) -> Column:
+        placed = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+        return F.when(
+            F.size(F.array_distinct(windows)) < F.size(windows),
+            let(placed, lambda p: let(twins(p), lambda places: total(lengths(places)))),
+        ).otherwise(F.lit(0).cast("long"))
 
+    return let(windows, counted)
 
-def with_histograms(docs: DataFrame, text_col="text") -> DataFrame:
-    """The rows with `_text`, `_words`, `_classes` and `_common`."""
-    return (
+
+def measures(docs: DataFrame, text_col="text") -> DataFrame:
+    """The rows with a struct `_m` of counts and histograms, from one reading of each text."""
+    text, words = F.col("_text"), F.col("_words")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
+    rows = (
         docs.withColumn("_text", whole_text(f"`{text_col}`"))
-        .withColumn("_words", spaced_words(F.col("_text")))
-        .withColumn("_classes", class_counts(F.col("_text")))
-        .withColumn("_common", word_counts(F.col("_words")))
+        .withColumn("_words", spaced_words(text))
+        .withColumn("_chars", F.length(F.translate(text, " \t\n\x0b\x0c\r", "")))
+        .withColumn("_classes", class_counts(text, F.col("_chars")))
+    )
+    counts = F.struct(
+        F.size(words).cast("long").alias("n_words"),
+        F.col("_chars").cast("long").alias("word_chars"),
+        F.element_at("_classes", len(CLASSES)).alias("n_symbols"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        covered(word_windows(words)).alias("n_repeat_words"),
+        F.col("_classes").alias("classes"),
+        word_counts(words).alias("common"),
     )
+    return rows.select(*[f"`{c}`" for c in docs.columns], counts.alias("_m"))
 
 
-def references(docs: DataFrame, text_col="text", lang_col="lang") -> dict[str, tuple[list, list]]:
+def references(rows: DataFrame, lang_col="lang") -> dict[str, tuple[list, list]]:
     """For each language of COMMON_WORDS that occurs: mean shares of classes and of common words.
 
     Every document of at least LEAST_FOR_WORDS words counts, with the same weight. At most
     four rows of some eighty numbers come to the driver.
     """
-    n = F.size("_words")
+    def shares(counts: str) -> Column:
+        return let(total(F.col(counts)), lambda n: F.transform(counts, lambda c: F.floor(c * UNIT / n)))
+
     rows = (
-        docs.select(F.col(f"`{lang_col}`").alias("_lang"), F.col(f"`{text_col}`").alias("_raw"))
-        .filter(F.col("_lang").isin(list(COMMON_WORDS)))
-        .transform(lambda df: with_histograms(df, "_raw"))
-        .filter(n >= LEAST_FOR_WORDS)
-        .select(
-            "_lang",
-            F.transform("_classes", lambda c: F.floor(c * UNIT / F.length("_text"))).alias("c"),
-            F.transform("_common", lambda c: F.floor(c * UNIT / n)).alias("w"),
-        )
+        rows.filter(F.col(f"`{lang_col}`").isin(list(COMMON_WORDS)))
+        .filter(F.col("_m.n_words") >= LEAST_FOR_WORDS)
+        .select(F.col(f"`{lang_col}`").alias("_lang"), shares("_m.classes").alias("c"), shares("_m.common").alias("w"))
     )
-    sums = [F.sum(F.col(k)[i]).alias(f"{k}{i}") for k, m in (("c", len(CLASSES) + 1), ("w", len(BINS) + 1)) for i in range(m)]
+    sizes = (("c", N_CLASSES), ("w", len(BINS) + 1))
+    sums = [F.sum(F.col(k)[i]).alias(f"{k}{i}") for k, m in sizes for i in range(m)]
     found = {}
     for row in rows.groupBy("_lang").agg(*sums).collect():
-        values = [[row[f"{k}{i}"] for i in range(m)] for k, m in (("c", len(CLASSES) + 1), ("w", len(BINS) + 1))]
+        values = [[row[f"{k}{i}"] for i in range(m)] for k, m in sizes]
         found[row["_lang"]] = tuple([v / sum(part) for v in part] for part in values)
     return dict(sorted(found.items()))
 
@@ -149,52 +170,45 @@ def divergence(counts: Column, reference: list[float]) -> Column:
         bits = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b) / 2
         return F.when(n > 0, F.sqrt(F.greatest(bits, F.lit(0.0))))
 
-    return let(_total(counts), distance)
+    return let(total(counts), distance)
 
 
-def measured(docs: DataFrame, text_col="text", lang_col="lang") -> DataFrame:
-    """The rows with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    class_distance, word_distance and kept, in a struct column `_quality`.
+def judged(docs: DataFrame, columns: list[str] | None = None, text_col="text", lang_col="lang") -> DataFrame:
+    """The rows, in the named columns (all of them by default), with a struct `_quality`: n_words,
+    word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance,
+    base_failed and kept.
 
     A NULL or empty text has no words and fails the base rules. The language of the row decides
     only which references there are; a document is compared with the nearest of them, so one of
     no or of another language is judged like the rest. Without any reference (an empty table or
     no known language) only the base rules decide. Repeated rows are judged alike.
+
+    Texts are read once: counts and histograms are written with the named columns.
     """
-    known = references(docs, text_col, lang_col).values()
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
-    rows = (
-        with_histograms(docs, text_col)
-        .withColumn("_windows", word_windows(F.col("_words")))
-        .withColumn("_lines", lines)
-    )
-    none = F.lit(None).cast("double")
-    least = lambda parts: F.least(*parts) if len(parts) > 1 else (parts[0] if parts else none)
-    n = F.size("_words").cast("long")
-    repeated = F.when(
-        F.size(F.array_distinct("_windows")) < F.size("_windows"), _covered(F.col("_windows"))
-    ).otherwise(F.lit(0).cast("long"))
-    quality = F.struct(
-        n.alias("n_words"),
-        F.aggregate("_words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
-        F.element_at("_classes", len(CLASSES)).alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        repeated.alias("n_repeat_words"),
-        least([divergence(F.col("_classes"), c) for c, _ in known]).alias("class_distance"),
-        least([divergence(F.col("_common"), w) for _, w in known]).alias("word_distance"),
-    )
-    rows = rows.select(*[f"`{c}`" for c in docs.columns], quality.alias("_m"))
+    columns = docs.columns if columns is None else columns
+    given = docs.withColumn("_lang", F.col(f"`{lang_col}`"))
+    rows = measures(given, text_col).select(*[f"`{c}`" for c in columns], "_lang", "_m")
+    rows = saved(rows, "quality")
+    known = references(rows, "_lang").values()
+    m = F.col("_m")
+
+    def nearest(parts: list[Column]) -> Column:
+        return F.array_min(F.array(*parts)) if parts else F.lit(None).cast("double")
+
+    m = m.withField("class_distance", nearest([divergence(F.col("_m.classes"), c) for c, _ in known]))
+    m = m.withField("word_distance", nearest([divergence(F.col("_m.common"), w) for _, w in known]))
+    rows = rows.withColumn("_m", m.dropFields("classes", "common"))
     m = F.col("_m")
     failed = (m.n_words < LEAST_WORDS) | (100 * m.n_repeat_words > MOST_REPEATED * m.n_words)
-    strange = ((m.n_words >= LEAST_FOR_CLASSES) & (m.class_distance > MOST_BY_CLASS)) | (
-        (m.n_words >= LEAST_FOR_WORDS) & (m.word_distance > MOST_BY_WORD)
+    by_class = (m.n_words >= LEAST_FOR_CLASSES) & (m.class_distance > MOST_BY_CLASS)
+    by_word = (m.n_words >= LEAST_FOR_WORDS) & (
+        (m.word_distance > MOST_BY_WORD) | (m.class_distance + m.word_distance > MOST_BY_BOTH)
     )
-    kept = ~failed & ~F.coalesce(strange, F.lit(False))
-    return rows.withColumn(
-        "_quality", F.col("_m").withField("base_failed", failed).withField("kept", kept)
-    ).drop("_m")
+    strange = F.coalesce(by_class, F.lit(False)) | F.coalesce(by_word, F.lit(False))
+    quality = m.withField("base_failed", failed).withField("kept", ~failed & ~strange)
+    return rows.select(*[f"`{c}`" for c in columns], quality.alias("_quality"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return measured(docs).filter("_quality.kept").select(*[f"`{c}`" for c in docs.columns])
+    return judged(docs).filter("_quality.kept").drop("_quality")

@@ -18,7 +18,7 @@ def registered(query):
 
 @registered
 def op5_quality_rules(spark, sf_dir):
-    rows = quality.measured(table(spark, sf_dir, "documents"))
+    rows = quality.judged(table(spark, sf_dir, "documents"), ["doc_id"])
     return rows.select("doc_id", "_quality.*")
 
 
