@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillscope.llm import bpe, quality, simhash
+from tillscope.llm import bpe, decontaminate, quality, simhash
 from tillscope.llm.common import table
 
 QUERIES = {}
@@ -16,6 +16,15 @@ def registered(query):
     return query
 
 
+@registered
+def op1_benchmark_decontamination(spark, sf_dir):
+    rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.concat_ws(",", "item_ids"), 256)
+    return rows.select(
+        "doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated"
+    )
+
+
 @registered
 def op5_quality_rules(spark, sf_dir):
     rows = quality.judged(table(spark, sf_dir, "documents"), ["doc_id"])

@@ -1,3 +1,33 @@
 """SQL twins of the registered queries that SQL can express."""
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = rf"list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+
 SQL_TWINS = {}
+
+SQL_TWINS["op1_benchmark_decontamination"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
+items AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+cut AS (SELECT item_id, w, least(10, len(w)) AS n FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, list_slice(w, s, s + n - 1) AS win
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM cut)
+),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT r, n, s, list_slice(w, s, s + n - 1) AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM docs, lengths WHERE len(w) >= n)
+),
+found AS (SELECT r, s, n, item_id FROM places JOIN windows USING (n, win)),
+words AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT r, unnest(range(s, s + n)) AS p FROM found) GROUP BY r
+),
+ids AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
+"""
