@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillscope.llm import bpe, decontaminate, quality, simhash
+from tillscope.llm import bpe, decontaminate, licenses, quality, sharding, simhash
 from tillscope.llm.common import table
 
 QUERIES = {}
@@ -25,6 +25,13 @@ def op1_benchmark_decontamination(spark, sf_dir):
     )
 
 
+@registered
+def op2_license_scan(spark, sf_dir):
+    rows = licenses.scan(table(spark, sf_dir, "documents"))
+    listed = {c: F.concat_ws(",", c) for c in ("base_labels", "labels")}
+    return rows.withColumns(listed)
+
+
 @registered
 def op5_quality_rules(spark, sf_dir):
     rows = quality.judged(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -46,3 +53,8 @@ def op7_bpe_round_trip(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@registered
+def op10_extendible_sharding(spark, sf_dir):
+    return sharding.sharded(table(spark, sf_dir, "documents"), columns=["doc_id"])

@@ -31,3 +31,69 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
 """
+
+
+def _license_twin() -> str:
+    from tillscope.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
+
+    phrases = ", ".join(f"({i}, string_split('{p}', ' '), '{label}')" for i, (p, label) in enumerate(PHRASES))
+    templates = ", ".join(f"({i}, {template_words(t)!r}, '{label}')" for i, (label, t) in enumerate(TEMPLATES))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_LOWER} AS low, {_ALNUM} AS w FROM documents),
+phrases(i, p, label) AS (VALUES {phrases}),
+templates(i, t, label) AS (VALUES {templates}),
+starts AS (SELECT r, w, unnest(range(0, len(w))) AS s FROM docs),
+places AS (SELECT r, s, label FROM starts JOIN phrases ON w[s + 1] = p[1] AND list_slice(w, s + 1, s + len(p)) = p),
+base AS (SELECT r, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word FROM places GROUP BY r),
+lines AS (SELECT r, unnest(string_split(low, chr(10))) AS x FROM docs),
+blocks AS (SELECT r, regexp_split_to_array(x, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS b FROM lines),
+shares AS (
+  SELECT r, label, len(list_intersect(list_distinct(b), t)) / len(t) AS share, len(list_intersect(list_distinct(b), t)) AS n, len(t) AS of
+  FROM blocks, templates WHERE len(b) >= {THRESHOLD} * len(t)
+),
+met AS (SELECT r, label, share FROM shares WHERE n >= ceil({THRESHOLD} * of - 1e-9)),
+top AS (SELECT r, max(share) AS share FROM met GROUP BY r),
+b AS (SELECT r, string_agg(label, ',' ORDER BY label) AS base_labels FROM (SELECT DISTINCT r, label FROM places) GROUP BY r),
+l AS (
+  SELECT r, string_agg(label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM places UNION SELECT r, label FROM met) GROUP BY r
+)
+SELECT doc_id, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM docs LEFT JOIN base USING (r) LEFT JOIN top USING (r) LEFT JOIN b USING (r) LEFT JOIN l USING (r)
+"""
+
+
+SQL_TWINS["op2_license_scan"] = _license_twin()
+
+
+def _sharding_twin() -> str:
+    from tillscope.llm.sharding import BITS, LIMIT, ROW
+
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) + {ROW} AS n_bytes,
+    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))), 1, {BITS // 4}))::BIGINT AS h
+  FROM documents
+),
+levels AS (SELECT r, h, n_bytes, d, h >> ({BITS} - d) AS p FROM docs, range(0, {BITS} + 1) AS x(d)),
+nodes AS (
+  SELECT d, p, sum(n_bytes) > {LIMIT} AND min(h) < max(h) AS open, sum(n_bytes) <= {LIMIT} AS whole
+  FROM levels GROUP BY d, p
+),
+leaves AS (
+  SELECT n.d, n.p, n.whole FROM nodes n LEFT JOIN nodes up ON up.d = n.d - 1 AND up.p = n.p >> 1
+  WHERE NOT n.open AND (n.d = 0 OR up.open)
+),
+placed AS (
+  SELECT doc_id, l.n_bytes, d, whole, right(lpad(bin(p), {BITS}, '0'), CAST(d AS INTEGER)) AS bits,
+    row_number() OVER (PARTITION BY h ORDER BY r) - 1 AS k
+  FROM levels l JOIN leaves USING (d, p) JOIN docs USING (r, h)
+)
+SELECT doc_id, CAST(d AS INTEGER) AS depth, n_bytes,
+  bits || CASE WHEN whole THEN '' ELSE '-' || CAST(k // greatest(1, {LIMIT} // n_bytes) AS VARCHAR) END AS shard
+FROM placed
+"""
+
+
+SQL_TWINS["op10_extendible_sharding"] = _sharding_twin()
