@@ -26,9 +26,9 @@ from tillscope.llm.common import only
 #: Fixed value: the published pattern that cuts a text into words before merging.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose tokens are remembered by a worker, and the most bytes of such a word.
-REMEMBERED, SHORT = 400_000, 64
-#: Words or tokens that are handled at a time.
-STEP = 1 << 15
+REMEMBERED, SHORT = 500_000, 64
+#: Words or tokens that are handled at a time; characters of a text cut into words at once.
+STEP, LONG = 1 << 15, 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -92,7 +92,8 @@ class Model:
         rules = [(raw(u), raw(v)) for u, v in merges]
         self.bytes_of = {i: token for token, i in ids.items()}
         self.first = [ids[bytes([b])] for b in range(256)]
-        self.pairs = {(ids[u], ids[v]): (rank, ids[u + v]) for rank, (u, v) in enumerate(rules)}
+        self.rank = {ids[u] << 32 | ids[v]: rank for rank, (u, v) in enumerate(rules)}
+        self.made = [ids[u + v] for u, v in rules]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of |= {i: text.encode() for text, i in self.special.items()}
         self.lookahead = sufficient_lookahead(rules)
@@ -104,30 +105,27 @@ class Model:
         """With the parts that a worker makes for itself."""
         if "known" not in self.__dict__:
             self.known = Remembered(self)
-            self.find = regex.compile(WORDS).finditer
+            self.find = regex.compile(WORDS)
             longest_first = sorted(self.special, key=len, reverse=True)
             self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.special else None
         return self
 
     def merge(self, raw: bytes) -> list[int]:
         """Tokens of a short piece: the pair of highest priority, leftmost first, until none is left."""
-        ids, pairs = [self.first[b] for b in raw], self.pairs
-        while len(ids) > 1:
-            found = [pairs.get(pair) for pair in zip(ids, ids[1:])]
-            best = min((f for f in found if f), default=None)
-            if best is None:
+        first, rank, made, none = self.first, self.rank, self.made, len(self.made)
+        ids = [first[b] for b in raw]
+        ranks = [rank.get(u << 32 | v, none) for u, v in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            out, i, n = [], 0, len(found)
-            while i < n:
-                if found[i] == best:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            if i == n:
-                out.append(ids[n])
-            ids = out
+            i = ranks.index(best)
+            ids[i] = made[best]
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank.get(ids[i] << 32 | ids[i + 1], none)
+            if i:
+                ranks[i - 1] = rank.get(ids[i - 1] << 32 | ids[i], none)
         return ids
 
     def stream(self, raw: bytes) -> Iterator[bytes]:
@@ -160,7 +158,7 @@ class Model:
             if part in self.special:
                 out.append(pack([self.special[part]]))
                 continue
-            words = (m.group() for m in self.find(part))
+            words = iter(self.find.findall(part)) if len(part) <= LONG else (m.group() for m in self.find.finditer(part))
             while piece := b"".join(map(self.known.__getitem__, islice(words, STEP))):
                 out.append(piece)
         return b"".join(out)
