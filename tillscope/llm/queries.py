@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillscope.llm import bpe, decontaminate, licenses, quality, sharding, simhash
+from tillscope.llm import bpe, decontaminate, htmltext, licenses, quality, sharding, simhash, toxicity
 from tillscope.llm.common import table
 
 QUERIES = {}
@@ -32,6 +32,20 @@ def op2_license_scan(spark, sf_dir):
     return rows.withColumns(listed)
 
 
+@registered
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.scored(docs, *toxicity.lexicon(docs, table(spark, sf_dir, "labels")))
+    # A row without an id has no remainder, so none that may be learned from.
+    held_out = F.coalesce(~toxicity.may_train(), F.lit(True))
+    return rows.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"),
+    )
+
+
 @registered
 def op5_quality_rules(spark, sf_dir):
     rows = quality.judged(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -55,6 +69,12 @@ def op7_bpe_round_trip(spark, sf_dir):
     )
 
 
+@registered
+def op9_html_extraction(spark, sf_dir):
+    rows = htmltext.extracted(table(spark, sf_dir, "pages"))
+    return rows.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @registered
 def op10_extendible_sharding(spark, sf_dir):
     return sharding.sharded(table(spark, sf_dir, "documents"), columns=["doc_id"])
