@@ -12,19 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import alnum_words, only, saved
+from tillscope.llm.common import alnum_words, only, saved, sent_if_small
 
 #: Words of a window; a shorter item is one window.
 WINDOW = 10
-#: Largest table that is sent to every executor, in bytes of its values; a larger one is shuffled.
-SENT = 16 << 20
-
-
-def sent_if_small(df: DataFrame, size: Column) -> DataFrame:
-    """A written table, marked for broadcast if the sum of `size` over its rows is at most SENT."""
-    total = df.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(df) if total <= SENT else df
-
 
 def keyed(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """(k, text): k tells rows apart by id and text, so two texts of one id stay two documents.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillscope.llm import bpe, decontaminate, htmltext, licenses, quality, sharding, simhash, toxicity
+from tillscope.llm import bpe, decontaminate, htmltext, licenses, quality, sharding, simhash, suffixes, toxicity
 from tillscope.llm.common import table
 
 QUERIES = {}
@@ -69,6 +69,18 @@ def op7_bpe_round_trip(spark, sf_dir):
     )
 
 
+@registered
+def op8_suffix_array_dedup(spark, sf_dir):
+    rows = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("runs").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @registered
 def op9_html_extraction(spark, sf_dir):
     rows = htmltext.extracted(table(spark, sf_dir, "pages"))
