@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillscope.llm import bpe, decontaminate, htmltext, licenses, quality, sharding, simhash, suffixes, toxicity
+from tillscope.llm import bpe, decontaminate, htmltext, licenses, passages, quality, sharding, simhash, suffixes, toxicity
 from tillscope.llm.common import table
 
 QUERIES = {}
@@ -32,6 +32,22 @@ def op2_license_scan(spark, sf_dir):
     return rows.withColumns(listed)
 
 
+@registered
+def op3_substring_dedup(spark, sf_dir):
+    rows = passages.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    of = F.transform("_passages.repeats", lambda r: r["of"])
+    return rows.select(
+        "doc_id",
+        F.coalesce(F.array_min(F.filter(of, lambda d: d < F.col("doc_id"))), F.col("doc_id")).alias("class_id"),
+        F.size(of).cast("long").alias("n_links"),
+        "_passages.n_words",
+        "_passages.n_removed",
+        "_passages.n_spans",
+        F.array_distinct(of).alias("repeats_of"),
+        F.sha2("_passages.kept", 256).alias("kept_sha256"),
+    )
+
+
 @registered
 def op4_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
