@@ -145,7 +145,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without a benchmark window, with their own columns."""
-    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
-    found = saved(hits(keyed(docs), items).select("k"), "contaminated")
+    found = saved(hits(keyed(docs), items).select(F.col("k").alias("_hit")), "contaminated")
     found = sent_if_small(found, F.lit(32))
-    return docs.withColumn("k", key).join(found, "k", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
+    return docs.join(found, key == F.col("_hit"), "left_anti")

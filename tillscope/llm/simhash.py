@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillscope.llm.common import only, saved
+from tillscope.llm.common import only, saved, sent_if_small
 from tillscope.llm.components import connected
 
 SEGMENTS = ((0, 22), (22, 43), (43, 64))
@@ -52,19 +52,19 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, fp BIGINT) of every row; NULL and blank texts have 0."""
+    """(doc_id, h, fp BIGINT) of every row; NULL and blank texts have 0. h is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             fps = np.array([fingerprint(t.as_py() or b"", words) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "h", "fp"]
             )
 
-    rows = only(docs, doc_id=id_col, text=text_col)
-    kind = T.StructType([rows.schema["doc_id"], T.StructField("fp", T.LongType())])
-    return rows.mapInArrow(run, kind)
+    rows = only(docs, doc_id=id_col, text=text_col).select("doc_id", F.xxhash64("text").alias("h"), "text")
+    longs = [T.StructField(c, T.LongType()) for c in ("h", "fp")]
+    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *longs]))
 
 
 def _signed(mask: int) -> int:
@@ -126,6 +126,17 @@ def near_links(fps: DataFrame) -> DataFrame:
     return twos.union(pairs).union(stars)
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """(fp, root, least): every fingerprint of `rows` with the root of its component and its
+    first row, by id (a missing one last) and text."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("least")
+    once = rows.groupBy("fp").agg(first)
+    found = connected(near_links(once.select("fp")))
+    return once.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), "least"
+    )
+
+
 def near_copies(docs: DataFrame, words: int = 3, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row.
 
@@ -135,35 +146,32 @@ def near_copies(docs: DataFrame, words: int = 3, id_col="doc_id", text_col="text
     other. A repeated row is repeated in the result. Empty input gives an empty result.
     """
     rows = saved(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    once = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = connected(near_links(once.select("fp")))
-    placed = once.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    roots = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(roots, "root").select("fp", "component_id")
+    every = placed(rows)
+    roots = every.groupBy("root").agg(F.min("least")["doc_id"].alias("component_id"))
+    named = every.join(roots, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def one_of_each(docs: DataFrame, words: int = 3) -> DataFrame:
-    """The documents without near copies: of each component the row of its smallest doc_id.
+def one_of_each(docs: DataFrame, words: int = 3, id_col="doc_id", text_col="text") -> DataFrame:
+    """The documents without near copies: of each component one row of its smallest doc_id.
 
-    Rows that repeat that id leave one row. Rows without an id stay if their component has no
-    id at all, one of them each.
+    A component without any id keeps one row too. Rows that repeat the id and the text of the
+    kept one are copies as well.
     """
-    from pyspark.sql import Window
-
-    found = near_copies(docs, words)
-    kept = found.groupBy("component_id").agg(
-        F.min(F.when(F.col("doc_id") == F.col("component_id"), F.col("fingerprint"))).alias("fp"),
-    )
-    named = docs.join(
-        kept.filter("component_id IS NOT NULL").select(F.col("component_id").alias("doc_id")),
-        "doc_id", "left_semi",
-    )
-    # Two rows of one id: the first of them by content.
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
-    named = named.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
-    return named.select(*docs.columns)
+    rows = saved(fingerprints(docs, words, id_col, text_col), "fingerprints")
+    kept = placed(rows).groupBy("root").agg(F.min("least").alias("m"))
+    kept = saved(kept.select(F.struct("m.doc_id", "m.h").alias("_kept")), "kept")
+    kept = sent_if_small(kept, F.lit(16))
+    key = F.struct(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(f"`{text_col}`").alias("h"))
+    stay = docs.join(kept, key == F.col("_kept"), "left_semi")
+    twice = rows.groupBy("doc_id", "h").count().filter("count > 1")
+    if not twice.take(1):
+        return stay
+    # Some rows repeat an id with its text: of these, one each. Copies meet in the tasks first.
+    twice = saved(twice.select(F.struct("doc_id", "h").alias("_twice")), "twice")
+    twice = sent_if_small(twice, F.lit(16))
+    alone = stay.join(twice, key == F.col("_twice"), "left_anti")
+    again = stay.join(twice, key == F.col("_twice"), "left_semi").withColumn("_key", key)
+    return alone.union(again.dropDuplicates(["_key"]).drop("_key"))
