@@ -29,7 +29,7 @@ def test_generate_ingest_report(spark, tmp_path):
     main(["generate", f"{tmp_path}/lines", "3000", "10", "12"], spark)
     main(
         [
-            "ingest", f"{tmp_path}/lines", "--sink", f"dt={tmp_path}/product,20000",
+            "ingest", f"{tmp_path}/lines", "--purchases", "--rejects", f"{tmp_path}/rejects", "--sink", f"dt={tmp_path}/product,20000",
             "--sink", f"flat={tmp_path}/raw", "--checkpoint", f"{tmp_path}/checkpoint",
             "--rejects", f"{tmp_path}/rejects", "--date-index", "2",
         ],
@@ -42,7 +42,7 @@ def test_generate_ingest_report(spark, tmp_path):
     )
     inputs = [f"{tmp_path}/product", f"{tmp_path}/names.csv", f"{tmp_path}/blocks.csv"]
     held = len(spark.sparkContext._jsc.getPersistentRDDs())
-    main(["report", *inputs, f"{tmp_path}/out", "--partitioned", "--strict"], spark)
+    main(["report", *inputs, f"{tmp_path}/out", "--partitioned"], spark)
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == held
 
     purchases = files.read_purchases(spark, inputs[0], partitioned=True)

@@ -1,3 +1,4 @@
+import decimal
 import datetime
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillscope.functions import (
-    cents_of,
+    exact_money,
     cidr_contains,
     cidr_first,
     cidr_last,
@@ -192,11 +193,13 @@ def test_epoch_ms_ignores_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def test_cents(spark):
-    prices = spark.createDataFrame(
-        [(532.1,), (0.29,), (1.005,), (-2.5,), (None,), (104949.5,)], "price DOUBLE"
-    )
-    got = [r[0] for r in prices.select(cents_of("price")).collect()]
-    assert got == [53210, 29, 100, -250, None, 10494950]
-    total = prices.where("price > 0").agg(money_of(F.sum(cents_of("price"))).alias("m")).first().m
-    assert total == 105482.89
+def test_money_is_exact(spark):
+    values = [532.1, 0.29, 1.005, 0.004, -2.5, 104949.5]
+    prices = spark.createDataFrame([(v,) for v in values] + [(None,)], "price DOUBLE")
+    got = [r[0] for r in prices.select(exact_money("price")).collect()]
+    assert got == [decimal.Decimal(str(v)) for v in values] + [None]
+    total = prices.agg(money_of(F.sum(exact_money("price"))).alias("m")).first().m
+    assert total == float(sum(decimal.Decimal(str(v)) for v in values))
+    small = spark.range(1000).select(F.lit(0.004).alias("price"))
+    assert small.agg(money_of(F.sum(exact_money("price"))).alias("m")).first().m == 4.0
+

@@ -67,12 +67,33 @@ def test_self_join_scans_once(spark, sf_dir):
     assert "ReusedExchange" in _plan(df)
 
 
+def test_self_join_of_large_inputs_is_not_dealt_by_category_alone(spark, sf_dir):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["category_self_join"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    below = plan[plan.index("SortMergeJoin") :]
+    joined = [x for x in below.splitlines() if "hashpartitioning(category" in x and "_salt" in x]
+    assert len(joined) >= 2
+
+
 def test_country_report_shuffles_only_countries(spark, sf_dir):
     """With small blocks no exchange of the plan carries purchases."""
-    plan = _plan(QUERIES["top_countries"](spark, sf_dir))
+    plan = _plan(QUERIES["top_countries_all"](spark, sf_dir))
     keys = [
         line.split("hashpartitioning(")[1].split("#")[0]
         for line in plan.splitlines()
         if "Exchange hashpartitioning" in line
     ]
     assert "ip" not in keys and "ip_long" not in keys
+
+
+def test_building_a_country_report_starts_no_job(spark, sf_dir):
+    spark.sparkContext.setJobGroup("building", "no job while a report is built")
+    try:
+        QUERIES["top_countries_all"](spark, sf_dir)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

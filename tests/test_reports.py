@@ -139,7 +139,7 @@ def test_top_countries(tables, data, match, small):
             cents[dict(COUNTRIES)[g]] += c
     expected = [(n, c / 100) for n, c in sorted(cents.items(), key=lambda kv: (-kv[1], kv[0]))]
     purchases, blocks, countries = tables
-    index = reports.block_index(blocks, broadcast_entries=10**6 if small else 0)
+    index = reports.block_index(blocks, broadcast_bytes=10**9 if small else 0)
     assert _rows(reports.top_countries(purchases, index, countries, match=match)) == expected
 
 
@@ -164,25 +164,24 @@ def test_reports_as_sql_over_views(spark, sf_dir, data, tables):
     ) == _rows(reports.top_categories(purchases))
     assert _rows(
         spark.sql(
-            """SELECT tp.name, tp.category, count(*) AS cnt FROM product tp
-               JOIN (SELECT category, count(*) AS c FROM product GROUP BY category) tc
-                 ON tp.category = tc.category
-               GROUP BY tp.name, tp.category ORDER BY cnt DESC, tp.name, tp.category LIMIT 10"""
+            """SELECT name, category, count(*) AS cnt FROM product WHERE category IS NOT NULL
+               GROUP BY name, category ORDER BY cnt DESC, name, category LIMIT 10"""
         )
     ) == _rows(reports.top_products(purchases))
     by_sql = spark.sql(
-        """SELECT round(p.sump, 2) AS sump, p.IP, n.geonameId, n.countryName, b.network
-           FROM (SELECT IP, IPAsLong, sum(price) AS sump FROM product GROUP BY IP, IPAsLong
-                 ORDER BY sump DESC LIMIT 100) p
-           JOIN countryip b ON p.IPAsLong BETWEEN b.startIPAsLong AND b.endIPAsLong
-           JOIN countryname n ON b.geonameId = n.geonameId
+        """WITH spent AS (SELECT IP, first(IPAsLong) AS number, sum(price) AS total
+                         FROM product GROUP BY IP)
+           SELECT round(total, 2) AS sump, IP, geonameId, countryName, network
+           FROM (SELECT * FROM spent ORDER BY total DESC LIMIT 100)
+           JOIN countryip ON startIPAsLong <= number AND endIPAsLong >= number
+           JOIN countryname USING (geonameId)
            ORDER BY sump DESC, IP, network LIMIT 10"""
     )
     assert _rows(by_sql) == _rows(reports.top_ip_countries(purchases, *tables[1:]))
     strict = spark.sql(
-        """SELECT v.sump, c.geoname_id, n.country_name FROM vproduct v
-           JOIN vcountryip c ON v.iip < c.endip AND v.iip > c.startip
-           JOIN countryname n ON n.geoname_id = c.geoname_id"""
+        """SELECT sump, geoname_id, country_name
+           FROM vcountryip JOIN countryname USING (geoname_id)
+           JOIN vproduct ON startip < iip AND iip < endip"""
     )
     frame = reports.top_ip_countries(purchases, *tables[1:], pre_k=10, k=None, bounds="strict")
     assert sorted(_rows(strict)) == sorted(

@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 from tillscope.sources import catalog, files, synthetic
 
 LINES = [
-    "product1, 508.7, 2010-10-15 04:52:40.388, category2, 197.240.70.89",
-    'product"0,501.9,2010-10-20 11:24:41,"category1",67.166.220.64',
-    "product2,500.1,2010-10-21 00:13:49.7,,22.180.248.21",
-    "product3,499.0,2010-10-21 00:13:49.000,category1,1.2.3.4,more,fields",
+    "lamp, 18.25, 2021-03-04 09:08:07.125, home, 81.2.69.142",
+    '17" bezel,75.5,2021-03-05 23:00:01,"parts",89.160.20.112',
+    "mug,3.1,2021-03-06 00:00:59.7,,175.16.199.9",
+    "pen,0.5,2021-03-06 00:00:59.000,parts,1.2.3.4,more,fields",
 ]
 BAD = [
     "product4,500.0",
-    "product5,cheap,2010-10-21 00:13:49.000,category1,1.2.3.4",
-    "product6,500.0,yesterday,category1,1.2.3.4",
-    "product7,cheap,2010-10-21 00:13:49.000,category1,1.2.3.4,more",
+    "product5,cheap,2021-03-06 00:00:59.000,parts,1.2.3.4",
+    "product6,0.5,yesterday,parts,1.2.3.4",
+    "product7,cheap,2021-03-06 00:00:59.000,parts,1.2.3.4,more",
 ]
 
 
@@ -29,15 +29,15 @@ def _write(path, lines):
 def test_purchase_lines(spark, tmp_path):
     path = _write(tmp_path / "in.txt", LINES + BAD)
     rows = {r.name: r for r in files.read_purchases(spark, path).collect()}
-    assert set(rows) == {"product1", 'product"0', "product2", "product3"}
-    assert tuple(rows["product1"]) == (
-        "product1", 508.7, datetime.datetime(2010, 10, 15, 4, 52, 40, 388000), "category2",
-        "197.240.70.89",
+    assert set(rows) == {"lamp", '17" bezel', "mug", "pen"}
+    assert tuple(rows["lamp"]) == (
+        "lamp", 18.25, datetime.datetime(2021, 3, 4, 9, 8, 7, 125000), "home",
+        "81.2.69.142",
     )
-    assert rows['product"0'].category == '"category1"'  # no quoting in purchase lines
-    assert rows["product2"].category == ""
-    assert rows["product2"].ts == datetime.datetime(2010, 10, 21, 0, 13, 49, 700000)
-    assert rows["product3"].ip == "1.2.3.4"
+    assert rows['17" bezel'].category == '"parts"'  # no quoting in purchase lines
+    assert rows["mug"].category == ""
+    assert rows["mug"].ts == datetime.datetime(2021, 3, 6, 0, 0, 59, 700000)
+    assert rows["pen"].ip == "1.2.3.4"
 
 
 def test_every_query_sees_the_same_lines(spark, tmp_path):
@@ -71,21 +71,21 @@ def test_country_names(spark, tmp_path):
     path = _write(
         tmp_path / "names.csv",
         [
-            "49518,en,AF,Africa,RW,Rwanda,0",
-            '102358,en,AS,Asia,SA,"Saudi Arabia",0',
-            '7626844,en,NA,"North America",BQ,"Bonaire, Sint Eustatius, and Saba",0',
-            "6255147,en,AS,Asia,,,0",
-            '3996063,en,NA,"North America",MX,"a \\"b\\" \\\\c",1',
-            "661882,en,EU,Europe,AX,Åland,1",
+            "11,en,XA,Alpha,QA,Quay,0",
+            '12,en,XB,Beta,QB,"Queen Bay",0',
+            '13,en,XC,"Gamma Land",QC,"Cove, Cape, and Cay",0',
+            "14,en,XB,Beta,,,0",
+            '15,en,XC,"Gamma Land",QD,"a \\"b\\" \\\\c",1',
+            "16,en,XD,Delta,QE,Ødal,1",
         ],
     )
     rows = {r.geoname_id: r for r in files.read_countries(spark, path).collect()}
-    assert rows[49518].country_name == "Rwanda" and rows[49518].is_in_e is False
-    assert rows[102358].country_name == "Saudi Arabia"
-    assert rows[7626844].country_name == "Bonaire, Sint Eustatius, and Saba"
-    assert rows[6255147].country_name is None and rows[6255147].country_iso_code is None
-    assert rows[3996063].country_name == 'a "b" \\c' and rows[3996063].is_in_e is True
-    assert rows[661882].country_name == "Åland"
+    assert rows[11].country_name == "Quay" and rows[11].is_in_e is False
+    assert rows[12].country_name == "Queen Bay"
+    assert rows[13].country_name == "Cove, Cape, and Cay"
+    assert rows[14].country_name is None and rows[14].country_iso_code is None
+    assert rows[15].country_name == 'a "b" \\c' and rows[15].is_in_e is True
+    assert rows[16].country_name == "Ødal"
 
 
 def test_blocks(spark, tmp_path):
@@ -131,9 +131,10 @@ def test_catalog_table_finds_new_days(spark, tmp_path):
         catalog.refresh_partitions(spark, "purchase_days")
         rows = spark.sql("SELECT * FROM purchase_days WHERE dt = '2011-01-01'").collect()
         assert len(rows) == 1 and rows[0].price == 2.5
-        assert spark.sql("SHOW PARTITIONS purchase_days").count() == 4
+        assert spark.sql("SHOW PARTITIONS purchase_days_lines").count() == 4
     finally:
-        spark.sql("DROP TABLE purchase_days")
+        spark.sql("DROP VIEW purchase_days")
+        spark.sql("DROP TABLE purchase_days_lines")
 
 
 def test_preview(spark):

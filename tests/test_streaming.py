@@ -16,7 +16,7 @@ from tillscope.streaming import ingest as ingest_module
 
 
 def _line(i, day=15):
-    return f"product{i}, 50{i % 10}.5, 2010-10-{day} 04:52:40.388, category{i % 3}, 10.0.0.{i}"
+    return f"product{i}, 50{i % 10}.5, 2010-10-{day} 17:03:21.250, category{i % 3}, 10.0.0.{i}"
 
 
 @pytest.fixture()
@@ -34,7 +34,7 @@ def _run(spark, folders, sinks, max_files=1, **options):
         read_line_stream(spark, str(folders / "in"), max_files_per_trigger=max_files),
         sinks,
         checkpoint=str(folders / "checkpoint"),
-        **{"date_index": 2, **options},
+        **{"date_index": 2, "rejects": str(folders / "rejects"), **options},
     )
     query.awaitTermination()
     return query
@@ -152,6 +152,7 @@ def test_polling_query_picks_up_files(spark, folders):
         read_line_stream(spark, str(folders / "in"), max_bytes_per_trigger=1_000_000),
         [sink],
         checkpoint=str(folders / "checkpoint"),
+        rejects=str(folders / "rejects"),
         date_index=2,
         interval="100 milliseconds",
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillscope.plans.reports import all_reports
 from tillscope.session import build_session
@@ -51,6 +52,7 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         checkpoint=args.checkpoint,
         rejects=args.rejects,
         date_index=args.date_index,
+        purchases=args.purchases,
         interval=args.interval,
     ).awaitTermination()
 
@@ -60,9 +62,15 @@ _CSV_COLUMNS = {"top_ip_countries": ("sump", "ip", "country_name")}
 
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.rejects:
+        kept = files.read_purchases(
+            spark, args.purchases, keep_rejected=True, partitioned=args.partitioned
+        )
+        rejected = kept.where(F.col(files.REJECTED).isNotNull())
+        rejected.select(F.col(files.REJECTED).alias("value")).write.mode("overwrite").text(args.rejects)
     reports = all_reports(
         files.read_purchases(
-            spark, args.purchases, strict=args.strict, partitioned=args.partitioned
+            spark, args.purchases, strict=not args.rejects, partitioned=args.partitioned
         ),
         files.read_blocks(spark, args.blocks),
         files.read_countries(spark, args.countries),
@@ -109,10 +117,12 @@ def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     ingest.add_argument("input")
     ingest.add_argument("--sink", type=_sink, action="append", required=True)
     ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--rejects")
+    ingest.add_argument("--rejects", required=True, help="where lines go that cannot be routed")
+    ingest.add_argument("--purchases", action="store_true", help="lines are purchases")
     ingest.add_argument("--date-index", type=int, default=-1)
-    ingest.add_argument("--max-files", type=int)
-    ingest.add_argument("--max-bytes", type=int)
+    bound = ingest.add_mutually_exclusive_group()
+    bound.add_argument("--max-files", type=int)
+    bound.add_argument("--max-bytes", type=int)
     ingest.add_argument("--interval", help="keep polling, as in '10 seconds'")
     ingest.set_defaults(run=_ingest)
 
@@ -122,11 +132,11 @@ def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     report.add_argument("blocks")
     report.add_argument("output")
     report.add_argument("--partitioned", action="store_true", help="purchases lie in dt= folders")
-    report.add_argument("--strict", action="store_true", help="fail on malformed purchases")
+    report.add_argument("--rejects", help="where malformed purchases go; without it they fail the report")
     report.add_argument("--k", type=int, default=10)
     report.add_argument("--pre-k", type=int, default=100)
     report.add_argument("--bounds", choices=("inclusive", "strict"), default="inclusive")
-    report.add_argument("--match", choices=("all", "longest"), default="all")
+    report.add_argument("--match", choices=("all", "longest"))
     report.add_argument("--jdbc-url")
     report.add_argument("--jdbc-property", type=_pair, action="append", default=[])
     report.set_defaults(run=_report)

@@ -11,11 +11,11 @@ from tillscope.functions.address import (
     network_of,
 )
 from tillscope.functions.moments import day_text, epoch_ms, parse_moment
-from tillscope.functions.money import cents_of, money_of
+from tillscope.functions.money import exact_money, money_of
 from tillscope.functions.registration import register_functions
 
 __all__ = [
-    "cents_of",
+    "exact_money",
     "cidr_contains",
     "cidr_first",
     "cidr_last",

@@ -9,14 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MOMENT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?$"
+
 
 def parse_moment_sql(text: str) -> str:
-    # The cast alone would also take a bare date or year.
-    return f"IF({text} LIKE '%:%:%', try_cast(trim({text}) AS TIMESTAMP_NTZ), NULL)"
+    # The cast alone would also take a bare date or year, and drop a zone.
+    return f"IF(trim({text}) RLIKE '{MOMENT}', try_cast(trim({text}) AS TIMESTAMP_NTZ), NULL)"
 
 
 def parse_moment(text: str) -> Column:
-    """'yyyy-MM-dd HH:mm:ss[.fraction]' to a timestamp; NULL for anything else."""
+    """'yyyy-MM-dd HH:mm:ss[.fraction]' to a timestamp; NULL for anything else, a zone included."""
     return F.expr(parse_moment_sql(text))
 
 

@@ -1,8 +1,8 @@
-"""Money is summed in whole cents.
+"""Money is summed exactly, as decimals of six places.
 
-A BIGINT sum is exact, does not depend on the order of the rows, stays in generated code
-and takes 8 bytes per group in a shuffle. Under ANSI mode an overflow fails the query
-instead of giving a wrong sum.
+A decimal sum does not depend on the order of the rows, and sub-cent prices count. A price that
+is no number or too large for the type fails the query instead of giving a wrong sum; the reader
+rejects such prices.
 """
 
 from __future__ import annotations
@@ -10,12 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Least price that is too large, in SQL.
+PRICE_LIMIT = "1e12D"
 
-def cents_of(price: str) -> Column:
-    """Price to whole cents, half a cent rounded up."""
-    return F.floor(F.col(price) * 100 + 0.5)
 
+def exact_money(price: str) -> Column:
+    """Price as a decimal, as it is written; beyond six places it is rounded."""
+    return F.col(price).cast("decimal(18,6)")
 
-def money_of(cents: str | Column) -> Column:
-    """Whole cents back to a price."""
-    return (F.col(cents) if isinstance(cents, str) else cents) / F.lit(100.0)
+
+def money_of(exact: str | Column) -> Column:
+    """An exact sum as a double."""
+    return (F.col(exact) if isinstance(exact, str) else exact).cast("double")

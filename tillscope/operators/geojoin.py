@@ -11,8 +11,8 @@ address for each length that may match:
    the lengths found in its neighbourhood, and drops addresses near no block at once.
 2. Probes meet the blocks by equi-join on one BIGINT. A block shorter than /12 is entered
    once for each /12 it covers, so one join key stands for at most 2^20 different addresses
-   and not for a quarter of the address space. The blocks are broadcast if they have been
-   counted and are few; else both sides are shuffled by the key.
+   and not for a quarter of the address space. The blocks are broadcast if the
+   plan estimates few bytes for them; else both sides are shuffled by the key.
 
 A few addresses, such as a top-k, are the smaller side themselves. Their probes of all 33
 lengths are broadcast, and the blocks are scanned once without any preparation.
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from tillscope.functions import cidr_prefix, network_of
 from tillscope.functions.address import cidr_address, last_of
 
-# Entries up to which the blocks are broadcast: about 100 MB in memory.
-BROADCAST_ENTRIES = 1_000_000
+# Bytes, by the estimate of the plan, up to which the blocks are broadcast.
+BROADCAST_BYTES = 64 << 20
 # Addresses up to which their probes are broadcast: 33 rows each.
 BROADCAST_ADDRESSES = 10_000
 
@@ -43,6 +43,16 @@ def _key(cell: str | Column, prefix: str) -> Column:
     return F.shiftleft(cell, 6) + F.col(prefix)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _proven_rows(df: DataFrame) -> float:
+    """Most rows that the plan can give, such as the number of a limit; else infinite."""
+    rows = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return rows.get() if rows.isDefined() else float("inf")
+
+
 @dataclass(frozen=True)
 class BlockIndex:
     """Blocks prepared for `cidr_join`; reusable for any number of joins.
@@ -53,7 +63,7 @@ class BlockIndex:
 
     ranges: DataFrame
     columns: tuple[str, ...]
-    broadcast_entries: int
+    broadcast_bytes: int
 
     @cached_property
     def entries(self) -> DataFrame:
@@ -103,12 +113,13 @@ class BlockIndex:
 
     @cached_property
     def small(self) -> bool:
-        """Whether the entries may be broadcast. Counts them, so it reads the blocks."""
-        return self.entries.count() <= self.broadcast_entries
+        """Whether the entries may be broadcast: an estimate of the plan in bytes, all columns
+        of the caller's blocks included. No job runs, and an unknown size is a large one."""
+        return _estimated_bytes(self.ranges) <= self.broadcast_bytes
 
 
 def block_index(
-    blocks: DataFrame, *, network: str = "network", broadcast_entries: int = BROADCAST_ENTRIES
+    blocks: DataFrame, *, network: str = "network", broadcast_bytes: int = BROADCAST_BYTES
 ) -> BlockIndex:
     """Index of blocks by their CIDR text. Rows whose text is no IPv4 block match nothing."""
     ranges = (
@@ -117,7 +128,7 @@ def block_index(
         .withColumn("_last", last_of("_address", "_len"))
         .drop("_address")
     )
-    return BlockIndex(ranges, tuple(blocks.columns), broadcast_entries)
+    return BlockIndex(ranges, tuple(blocks.columns), broadcast_bytes)
 
 
 def _with_key(probes: DataFrame, address: str) -> DataFrame:
@@ -176,8 +187,8 @@ def cidr_join(
     `match` is 'all' for every block that holds the address, or 'longest' for the most
     specific one (the least row of it, should the network occur twice). `unique` promises
     that every row of `addresses` has a different address, which saves 'longest' a join.
-    `at_most` is a bound on the rows of `addresses` that holds whatever the data, such as
-    its limit.
+    `at_most` says that `addresses` has few rows, such as a limit; it counts only if the plan
+    proves it.
     """
     if bounds not in ("inclusive", "strict"):
         raise ValueError(f"unknown bounds: {bounds}")
@@ -187,7 +198,7 @@ def cidr_join(
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
 
-    few = at_most is not None and at_most <= BROADCAST_ADDRESSES
+    few = at_most is not None and _proven_rows(addresses) <= min(at_most, BROADCAST_ADDRESSES)
     if match == "all":
         found = _match(addresses, index, address, bounds, few)
         return found.select(*addresses.columns, *index.columns)

@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.functions import cents_of, ip_to_long, money_of
+from tillscope.functions import exact_money, ip_to_long, money_of
 from tillscope.operators import (
     BlockIndex,
     block_index,
@@ -22,7 +22,7 @@ from tillscope.operators import (
     top_k,
     top_k_per_group,
 )
-from tillscope.operators.aggregates import cents_by_ip
+from tillscope.operators.aggregates import exact_by_ip
 
 
 def rank_categories(counts: DataFrame, k: int | None = 10) -> DataFrame:
@@ -41,8 +41,8 @@ def rank_products_per_category(counts: DataFrame, k: int = 10) -> DataFrame:
     return top_k_per_group(known.select("category", "name", "cnt"), "category", "cnt", "name", k=k)
 
 
-def rank_ips(cents: DataFrame, k: int | None = 10) -> DataFrame:
-    return top_k(cents, "cents", "ip", k=k).select("ip", money_of("cents").alias("sump"))
+def rank_ips(spent: DataFrame, k: int | None = 10) -> DataFrame:
+    return top_k(spent, "spent", "ip", k=k).select("ip", money_of("spent").alias("sump"))
 
 
 def top_categories(purchases: DataFrame, k: int | None = 10) -> DataFrame:
@@ -62,7 +62,7 @@ def top_products_per_category(purchases: DataFrame, k: int = 10) -> DataFrame:
 
 def top_ips(purchases: DataFrame, k: int | None = 10) -> DataFrame:
     """Addresses that spend most: ip, sump."""
-    return rank_ips(cents_by_ip(purchases), k)
+    return rank_ips(exact_by_ip(purchases), k)
 
 
 def geo_blocks(blocks: DataFrame) -> BlockIndex:
@@ -123,13 +123,13 @@ def top_ip_countries(
 
 
 def rank_countries(placed: DataFrame, countries: DataFrame, k: int | None = 10) -> DataFrame:
-    """Of rows (geoname_id, cents), however many for a country."""
+    """Of rows (geoname_id, spent), however many for a country."""
     # Summed by id first, so that the names meet one row per country.
-    spend = placed.groupBy("geoname_id").agg(F.sum("cents").alias("cents"))
+    spend = placed.groupBy("geoname_id").agg(F.sum("spent").alias("spent"))
     by_name = (
         spend.join(countries.select("geoname_id", "country_name"), "geoname_id")
         .groupBy("country_name")
-        .agg(money_of(F.sum("cents")).alias("sump"))
+        .agg(money_of(F.sum("spent")).alias("sump"))
     )
     return top_k(by_name, "sump", "country_name", k=k)
 
@@ -141,19 +141,19 @@ def top_countries(
     *,
     k: int | None = 10,
     bounds: str = "inclusive",
-    match: str = "all",
+    match: str = "longest",
 ) -> DataFrame:
     """Countries that spend most, over all addresses: country_name, sump.
 
-    A purchase counts for every block that holds its address; with match='longest' it counts
-    once. With small blocks every purchase is looked up where it is read, and what is
+    A purchase counts once, for the most specific block that holds its address; with
+    match='all' it counts for every such block. With small blocks every purchase is looked up where it is read, and what is
     shuffled is one row per country and task. Else the purchases are first summed by address,
     so that the join shuffles each address once.
     """
     index = _index(blocks)
-    spend = purchases.select(ip_to_long("ip").alias("ip_long"), cents_of("price").alias("cents"))
+    spend = purchases.select(ip_to_long("ip").alias("ip_long"), exact_money("price").alias("spent"))
     if match != "all" or not index.small:
-        spend = spend.groupBy("ip_long").agg(F.sum("cents").alias("cents"))
+        spend = spend.groupBy("ip_long").agg(F.sum("spent").alias("spent"))
     placed = cidr_join(spend, index, bounds=bounds, match=match, unique=True)
     return rank_countries(placed, countries, k)
 
@@ -178,34 +178,39 @@ def all_reports(
     k: int = 10,
     pre_k: int = 100,
     bounds: str = "inclusive",
-    match: str = "all",
+    match: str | None = None,
 ) -> ReportSet:
     """Every report, from two passes over the purchases in place of one for each.
 
-    The counts by (name, category) and the cents by address are kept on the executors,
+    `match` is for both lookups; by default an address has every block that holds it, and a
+    country's total counts a purchase once.
+
+    The counts by (name, category) and the sums by address are kept on the executors,
     spilling to disk; they are what all six reports are ranked from.
     """
     index = _index(blocks)
     counts = count_by(purchases, "name", "category").persist(StorageLevel.MEMORY_AND_DISK)
-    cents = cents_by_ip(purchases).persist(StorageLevel.MEMORY_AND_DISK)
+    spent = exact_by_ip(purchases).persist(StorageLevel.MEMORY_AND_DISK)
     by_category = counts.groupBy("category").agg(F.sum("cnt").alias("cnt"))
     # Texts that mean one address are brought together, as a lookup per text would do.
-    by_address = cents.groupBy("ip_long").agg(F.sum("cents").alias("cents"))
-    placed = cidr_join(by_address, index, bounds=bounds, match=match, unique=True)
+    by_address = spent.groupBy("ip_long").agg(F.sum("spent").alias("spent"))
+    placed = cidr_join(
+        by_address, index, bounds=bounds, match=match or "longest", unique=True
+    )
     frames = {
         "top_categories": rank_categories(by_category, k),
         "top_products": rank_products(counts, k),
         "top_products_per_category": rank_products_per_category(counts, k),
-        "top_ips": rank_ips(cents, k),
+        "top_ips": rank_ips(spent, k),
         "top_ip_countries": place_ips(
-            rank_ips(cents, pre_k),
+            rank_ips(spent, pre_k),
             index,
             countries,
             at_most=pre_k,
             k=k,
             bounds=bounds,
-            match=match,
+            match=match or "all",
         ),
         "top_countries": rank_countries(placed, countries, k),
     }
-    return ReportSet(frames, (counts, cents))
+    return ReportSet(frames, (counts, spent))

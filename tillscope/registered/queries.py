@@ -29,6 +29,7 @@ from tillscope.operators import (
     spend_by_ip_long,
     with_category_total,
 )
+from tillscope.operators.geojoin import block_index
 from tillscope.operators.ranking import sort_desc
 from tillscope.plans import reports, views
 from tillscope.session import scratch_path
@@ -252,6 +253,16 @@ def geo_join_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _geo_join(spark, sf_dir)
 
 
+@_registered
+def geo_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As geo_join_inclusive, the way blocks take that are too large to broadcast."""
+    index = block_index(
+        startables.blocks(spark, sf_dir).select("network", "geoname_id"), broadcast_bytes=0
+    )
+    spenders = spend_by_ip(startables.purchases(spark, sf_dir))
+    return cidr_join(spenders, index).select("ip", "sump", "network", "geoname_id")
+
+
 @_registered
 def geo_join_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _geo_join(spark, sf_dir, bounds="strict")
@@ -324,6 +335,16 @@ def top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_registered
+def top_countries_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_countries(
+        startables.purchases(spark, sf_dir),
+        startables.blocks(spark, sf_dir),
+        startables.countries(spark, sf_dir),
+        match="all",
+    )
+
+
 @_registered
 def top_countries_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_countries(
@@ -521,7 +542,11 @@ def _arriving_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingest(
-    spark: SparkSession, sf_dir: str, sinks: list[LineSink], rejects: str | None, scratch: str
+    spark: SparkSession,
+    sf_dir: str,
+    sinks: list[LineSink],
+    scratch: str,
+    purchases: bool = False,
 ) -> None:
     """Ingest all lines in two runs on one checkpoint, new files arriving in between."""
     lines = _arriving_lines(spark, sf_dir)
@@ -535,8 +560,9 @@ def _ingest(
             read_line_stream(spark, f"{scratch}/in", max_files_per_trigger=256),
             sinks,
             checkpoint=f"{scratch}/checkpoint",
-            rejects=rejects,
+            rejects=f"{scratch}/rejects",
             date_index=2,
+            purchases=purchases,
         ).awaitTermination()
 
 
@@ -544,7 +570,7 @@ def _ingest(
 def stream_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = scratch_path(spark, "stream-date")
     sink = LineSink(f"{scratch}/product", "dt", 20_000)
-    _ingest(spark, sf_dir, [sink], None, scratch)
+    _ingest(spark, sf_dir, [sink], scratch)
     return read_sink(spark, sink)
 
 
@@ -554,7 +580,7 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_day = LineSink(f"{scratch}/product", "dt", 20_000)
     nested = LineSink(f"{scratch}/event", "ymd", 1_000)
     flat = LineSink(f"{scratch}/raw")
-    _ingest(spark, sf_dir, [by_day, nested, flat], None, scratch)
+    _ingest(spark, sf_dir, [by_day, nested, flat], scratch)
     copies = [
         read_sink(spark, by_day).select(F.lit("product").alias("sink"), "dt", "value"),
         read_sink(spark, nested).select(
@@ -578,10 +604,47 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = scratch_path(spark, "stream-rejects")
-    rejects = f"{scratch}/rejects"
-    _ingest(spark, sf_dir, [LineSink(f"{scratch}/product", "dt")], rejects, scratch)
+    _ingest(spark, sf_dir, [LineSink(f"{scratch}/product", "dt")], scratch)
     return (
         spark.read.schema("value STRING, reason STRING, batch_id BIGINT")
-        .text(rejects)
+        .text(f"{scratch}/rejects")
         .select("value", "reason")
     )
+
+
+@_registered
+def ingest_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From arriving lines to a report on the catalog table over what the ingest wrote."""
+    scratch = scratch_path(spark, "ingest-table")
+    sink = LineSink(f"{scratch}/product", "dt", 20_000)
+    _ingest(spark, sf_dir, [sink], scratch, purchases=True)
+    name = f"purchases_{uuid.uuid4().hex}"
+    catalog.create_purchase_table(spark, name, sink.path, batches=True)
+    return reports.top_categories(spark.table(name))
+
+
+@_registered
+def spend_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of prices of fractions of a cent, half cents and negative ones."""
+    rows = startables.table(spark, sf_dir, "lineitem").select(
+        F.expr("concat('10.0.0.', l_linenumber)").alias("ip"),
+        F.expr("CAST((l_orderkey % 2001 - 1000) / 1000.0D + 0.004D AS DOUBLE)").alias("price"),
+    )
+    return spend_by_ip(rows)
+
+
+@_registered
+def batch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a file by what the reader makes of them; none is lost."""
+    path = scratch_path(spark, "lines")
+    prices = F.expr(
+        "element_at(array('NaN', 'Infinity', '1e30', 'dear', '-1e12'), CAST(event_id % 5 AS INT) + 1)"
+    )
+    lines = _arriving_lines(spark, sf_dir)
+    odd = F.col("event_id") % 83 == 11
+    made = F.concat_ws(",", F.lit("odd"), prices, F.lit("2024-01-01 00:00:00"), F.lit("c"), F.lit("1.2.3.4"))
+    append_lines(lines.select(F.when(odd, made).otherwise(F.col("value")).alias("value")), path)
+    read = files.read_purchases(spark, path, keep_rejected=True)
+    return read.groupBy(
+        F.col(files.REJECTED).alias("rejected"), F.when(F.col(files.REJECTED).isNull(), F.col("category")).alias("category")
+    ).agg(F.count(F.lit(1)).alias("lines"))

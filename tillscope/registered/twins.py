@@ -40,7 +40,7 @@ sales AS (
 
 _SPEND = """
 spend AS (
-  SELECT ip, ip_long, CAST(sum(CAST(price AS DECIMAL(18, 2))) AS DOUBLE) AS sump
+  SELECT ip, ip_long, CAST(sum(CAST(price AS DECIMAL(18, 6))) AS DOUBLE) AS sump
   FROM sales GROUP BY ip, ip_long
 )"""
 
@@ -92,7 +92,7 @@ ORDER BY sump DESC, ip, network, geoname_id LIMIT 10"""
 
 def _top_countries(placed: str) -> str:
     return f"""{_with(_SALES, _SPEND, _BLOCKS, _COUNTRIES)}
-SELECT country_name, CAST(sum(CAST(sump AS DECIMAL(18, 2))) AS DOUBLE) AS sump
+SELECT country_name, CAST(sum(CAST(sump AS DECIMAL(18, 6))) AS DOUBLE) AS sump
 FROM ({placed}) JOIN countries USING (geoname_id)
 GROUP BY country_name ORDER BY sump DESC, country_name LIMIT 10"""
 
@@ -134,7 +134,7 @@ arrived AS (
                    || event_type || ',' || {_dotted(_spread('user_id'))} END AS value,
          CASE WHEN event_id % 97 = 7 THEN 'too_few_fields'
               WHEN event_id % 89 = 5 THEN 'bad_time' END AS reason,
-         strftime(ts, '%Y-%m-%d') AS dt
+         strftime(ts, '%Y-%m-%d') AS dt, event_id, event_type AS category
   FROM events
 )"""
 
@@ -201,6 +201,8 @@ FROM (SELECT name, category, count(*) AS cnt FROM sales GROUP BY name, category)
 JOIN (SELECT category, count(*) AS cnt FROM sales GROUP BY category) AS c
   ON p.category = c.category""",
     "geo_join_inclusive": f"""{_with(_SALES, _SPEND, _BLOCKS)}
+SELECT ip, sump, network, geoname_id FROM ({_INSIDE})""",
+    "geo_join_shuffled": f"""{_with(_SALES, _SPEND, _BLOCKS)}
 SELECT ip, sump, network, geoname_id FROM ({_INSIDE})""",
     "geo_join_strict": f"""{_with(_SALES, _SPEND, _BLOCKS)}
 SELECT ip, sump, network, geoname_id
@@ -211,10 +213,8 @@ SELECT ip, sump, network, geoname_id FROM ({_LONGEST})""",
 SELECT category, count(*) AS cnt FROM sales
 GROUP BY category ORDER BY cnt DESC, category NULLS FIRST LIMIT 10""",
     "top_products": f"""{_with(_SALES)}
-SELECT tp.name, tp.category, count(*) AS cnt
-FROM sales AS tp
-JOIN (SELECT category FROM sales GROUP BY category) AS tc ON tp.category = tc.category
-GROUP BY tp.name, tp.category ORDER BY cnt DESC, tp.name, tp.category LIMIT 10""",
+SELECT name, category, count(*) AS cnt FROM sales WHERE category IS NOT NULL
+GROUP BY ALL ORDER BY cnt DESC, name, category LIMIT 10""",
     "top_products_k100": f"""{_with(_SALES)}
 SELECT name, category, count(*) AS cnt FROM sales WHERE category IS NOT NULL
 GROUP BY name, category ORDER BY cnt DESC, name, category LIMIT 100""",
@@ -231,7 +231,8 @@ WHERE rank <= 10""",
 SELECT ip, sump FROM spend ORDER BY sump DESC, ip LIMIT 10""",
     "top_ip_countries": _top_ip_countries(100, ">=", "<="),
     "top_ip_countries_k10": _top_ip_countries(10, ">", "<"),
-    "top_countries": _top_countries(_INSIDE),
+    "top_countries": _top_countries(_LONGEST),
+    "top_countries_all": _top_countries(_INSIDE),
     "top_countries_longest": _top_countries(_LONGEST),
     "view_top_ips": f"""{_with(_SALES, _SPEND)}
 SELECT ip, ip_long AS iip, sump FROM spend ORDER BY sump DESC, ip LIMIT 10""",
@@ -284,6 +285,20 @@ SELECT sink, CASE WHEN sink = 'raw' THEN 'all' ELSE dt END AS dt, count(*) AS li
        max(value) AS last_line
 FROM arrived, (VALUES ('product'), ('event'), ('raw')) AS s(sink)
 WHERE reason IS NULL GROUP BY 1, 2""",
+    "ingest_table_report": f"""{_with(_ARRIVED)}
+SELECT category, count(*) AS cnt FROM arrived WHERE reason IS NULL
+GROUP BY category ORDER BY cnt DESC, category LIMIT 10""",
+    "spend_exact": """SELECT '10.0.0.' || l_linenumber AS ip, CAST(167772160 + l_linenumber AS BIGINT) AS ip_long,
+  CAST(sum(CAST((l_orderkey % 2001 - 1000) / 1000.0::DOUBLE + 0.004::DOUBLE AS DECIMAL(18, 6))) AS DOUBLE) AS sump
+FROM lineitem GROUP BY l_linenumber""",
+    "batch_rejects": f"""{_with(_ARRIVED)}
+SELECT CASE WHEN event_id % 83 = 11 THEN
+              'odd,' || (['NaN', 'Infinity', '1e30', 'dear', '-1e12'])[event_id % 5 + 1]
+              || ',2024-01-01 00:00:00,c,1.2.3.4'
+            WHEN reason IS NOT NULL THEN value END AS rejected,
+       CASE WHEN event_id % 83 <> 11 AND reason IS NULL THEN category END AS category,
+       count(*) AS lines
+FROM arrived GROUP BY 1, 2""",
     "stream_rejects": f"""{_with(_ARRIVED)}
 SELECT value, reason FROM arrived WHERE reason IS NOT NULL""",
 }

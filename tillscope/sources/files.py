@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tillscope.functions import cidr_first, cidr_last, cidr_prefix
 from tillscope.functions.moments import parse_moment_sql
+from tillscope.functions.money import PRICE_LIMIT
 from tillscope.operators.computed import compute_once
 from tillscope.sources import schemas
 
@@ -18,31 +19,46 @@ def _text(i: int) -> str:
     return f"trim(BOTH ' \\t' FROM get(_fields, {i}))"
 
 
+# The rule of a good purchase line, shared by the reader, the ingest and the catalog view.
+_PRICE = "try_cast(get(_fields, 1) AS DOUBLE)"
+_TIME = parse_moment_sql("get(_fields, 2)")
+_GOOD = (
+    f"(size(_fields) >= {len(schemas.PURCHASES)} AND price IS NOT NULL AND NOT isnan(price)"
+    f" AND abs(price) < {PRICE_LIMIT} AND ts IS NOT NULL)"
+)
+_COLUMNS = {
+    name: name if name in ("price", "ts") else _text(i)
+    for i, name in enumerate(schemas.PURCHASES.names)
+}
+
+
+def purchases_sql(lines: str, *others: str) -> str:
+    """`parse_purchases` as a query over a table of lines, for a view in the catalog."""
+    columns = ", ".join([*[f"{e} AS {n}" for n, e in _COLUMNS.items()], *others])
+    return (
+        f"SELECT {columns} FROM {lines}"
+        " LATERAL VIEW explode(array(split(value, ','))) AS _fields"
+        f" LATERAL VIEW inline(array(named_struct('price', {_PRICE}, 'ts', {_TIME}))) AS price, ts"
+        f" WHERE {_GOOD}"
+    )
+
+
 def parse_purchases(
     lines: DataFrame, *, strict: bool = False, keep_rejected: bool = False
 ) -> DataFrame:
     """Purchase lines `value` = `name,price,ts,category,ip` to typed columns.
 
-    A line with fewer fields, or with a price or time that does not parse, is dropped. It is
-    kept, with its text in `rejected_line` and no other value, with `keep_rejected`, and
-    fails the query with `strict`. Further fields are ignored and there is no quoting.
+    A line with fewer fields, with a time that does not parse, or with a price that does not,
+    is no finite number or reaches PRICE_LIMIT, is dropped. It is kept, with its text in
+    `rejected_line` and no other value, with `keep_rejected`, and fails the query with `strict`. Further fields are ignored and there is no quoting.
     Which lines are good does not depend on the columns a query takes. Other columns of
     `lines` are kept.
     """
     # Every good line needs the fields, the price and the time, so each is computed once.
     fields = compute_once(lines, "_fields", F.split("value", ","))
-    typed = F.struct(
-        F.expr("try_cast(get(_fields, 1) AS DOUBLE)").alias("price"),
-        F.expr(parse_moment_sql("get(_fields, 2)")).alias("ts"),
-    )
+    typed = F.struct(F.expr(_PRICE).alias("price"), F.expr(_TIME).alias("ts"))
     parsed = fields.select("*", F.inline(F.array(typed)))
-    good = (
-        f"(size(_fields) >= {len(schemas.PURCHASES)} AND price IS NOT NULL AND ts IS NOT NULL)"
-    )
-    columns = {
-        name: name if name in ("price", "ts") else _text(i)
-        for i, name in enumerate(schemas.PURCHASES.names)
-    }
+    good, columns = _GOOD, _COLUMNS
     others = [c for c in lines.columns if c != "value"]
     if keep_rejected:
         return parsed.select(
@@ -70,8 +86,11 @@ def read_purchases(
     `partitioned` reads a `dt=yyyy-MM-dd` directory tree: dt becomes a string column, and
     filters on it prune directories.
     """
-    schema = "value STRING, dt STRING" if partitioned else "value STRING"
-    lines = spark.read.schema(schema).text(path)
+    if partitioned:
+        # Below the day an ingest sink has a directory for each batch.
+        lines = spark.read.schema("value STRING, dt STRING").text(path).drop("batch_id")
+    else:
+        lines = spark.read.schema("value STRING").text(path)
     return parse_purchases(lines, strict=strict, keep_rejected=keep_rejected)
 
 

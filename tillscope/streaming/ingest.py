@@ -18,8 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillscope.functions.moments import parse_moment_sql
 from tillscope.sinks.files import layout_columns
+from tillscope.sources.files import REJECTED, parse_purchases
 
 INGEST_TIME = -1
+# Files of a batch, unless the caller bounds it.
+MAX_FILES = 1_000
 _BATCH = "batch_id"
 
 
@@ -39,12 +42,17 @@ def read_line_stream(
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Lines (`value`) of the files that appear in a directory, bounded per batch."""
+    """Lines (`value`) of the files that appear in a directory, bounded per batch.
+
+    The bound is a number of files or of bytes, not both; by default MAX_FILES files.
+    """
+    if max_files_per_trigger is not None and max_bytes_per_trigger is not None:
+        raise ValueError("a batch is bounded by files or by bytes, not by both")
     reader = spark.readStream
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    else:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger or MAX_FILES)
     return reader.text(path)
 
 
@@ -71,12 +79,25 @@ def classify_lines(
     )
 
 
+def classify_purchases(lines: DataFrame) -> DataFrame:
+    """As `classify_lines`, with the rule and the time of `parse_purchases`: what is not
+    rejected here is a row of every later read."""
+    parsed = parse_purchases(lines.select("value", F.col("value").alias("line")), keep_rejected=True)
+    return parsed.select(
+        F.col("line").alias("value"),
+        F.col("ts").alias("event_ts"),
+        F.when(F.col(REJECTED).isNotNull(), F.lit("no_purchase")).alias("reason"),
+    )
+
+
 def _write_batch(rows: DataFrame, sink: LineSink, batch_id: int) -> None:
     parts = layout_columns(sink.layout)
+    rows = rows.withColumns({**parts, _BATCH: F.lit(batch_id)}).select("value", *parts, _BATCH)
+    if parts:
+        # Lines of a day are brought together, a large day stays in several tasks.
+        rows = rows.hint("rebalance", *parts)
     (
-        rows.withColumns({**parts, _BATCH: F.lit(batch_id)})
-        .select("value", *parts, _BATCH)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", sink.max_records_per_file)
         .partitionBy(*parts, _BATCH)
@@ -100,14 +121,17 @@ def ingest_lines(
     sinks: Sequence[LineSink],
     *,
     checkpoint: str,
-    rejects: str | None = None,
+    rejects: str,
     date_index: int = INGEST_TIME,
     min_fields: int = 3,
+    purchases: bool = False,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest: each batch is read once and written to all sinks.
 
-    Lines that cannot be routed go to `rejects`, by reason, and are dropped without it.
+    Lines that cannot be routed go to `rejects`, by reason, so none is lost. With `purchases`
+    the lines are purchases, routed by their own time, and only what every reader of purchases
+    takes for one is routed; else `date_index` and `min_fields` decide (`classify_lines`).
     With an `interval` the query polls for new files for ever; without, it takes what is
     there in bounded batches and stops. A failed batch stops the query; starting it again
     with the same checkpoint resumes at that batch.
@@ -119,12 +143,14 @@ def ingest_lines(
             good = batch.where(F.col("reason").isNull())
             for sink in sinks:
                 _write_batch(good, sink, batch_id)
-            if rejects is not None:
-                _write_rejects(batch.where(F.col("reason").isNotNull()), rejects, batch_id)
+            _write_rejects(batch.where(F.col("reason").isNotNull()), rejects, batch_id)
         finally:
             batch.unpersist()
 
-    routed = classify_lines(lines, date_index=date_index, min_fields=min_fields)
+    if purchases:
+        routed = classify_purchases(lines)
+    else:
+        routed = classify_lines(lines, date_index=date_index, min_fields=min_fields)
     writer = routed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
