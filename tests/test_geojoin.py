@@ -70,7 +70,7 @@ def test_equals_brute_force(spark, join_mode, bounds, match, seed):
     addresses = _random_addresses(rng, blocks)
     index = block_index(
         spark.createDataFrame(blocks + BAD_BLOCKS, "network STRING, geoname_id LONG"),
-        broadcast_bytes=10**9 if join_mode == "broadcast" else 0,
+        broadcast_bytes=10**30 if join_mode == "broadcast" else 0,
     )
     rows = spark.createDataFrame([(a,) for a in addresses] + [(None,)], "ip_long LONG")
     at_most = 1000 if join_mode == "few" else None
@@ -88,7 +88,7 @@ def test_repeated_addresses_are_kept(spark, join_mode, match):
     blocks = [("10.0.0.0/8", 1), ("10.1.0.0/16", 2), ("20.0.0.0/6", 3)]
     index = block_index(
         spark.createDataFrame(blocks, "network STRING, geoname_id LONG"),
-        broadcast_bytes=10**9 if join_mode == "broadcast" else 0,
+        broadcast_bytes=10**30 if join_mode == "broadcast" else 0,
     )
     hot = int(ipaddress.ip_address("10.1.2.3"))
     rows = spark.range(3000).select(

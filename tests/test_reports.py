@@ -139,7 +139,7 @@ def test_top_countries(tables, data, match, small):
             cents[dict(COUNTRIES)[g]] += c
     expected = [(n, c / 100) for n, c in sorted(cents.items(), key=lambda kv: (-kv[1], kv[0]))]
     purchases, blocks, countries = tables
-    index = reports.block_index(blocks, broadcast_bytes=10**9 if small else 0)
+    index = reports.block_index(blocks, broadcast_bytes=10**30 if small else 0)
     assert _rows(reports.top_countries(purchases, index, countries, match=match)) == expected
 
 
