@@ -1,0 +1,63 @@
+import random
+import re
+
+from tillscope.llm import decontaminate
+
+
+def words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def plain(text, items):
+    has, hit, ids = words(text), set(), set()
+    for item, itext in items:
+        w = words(itext)
+        n = min(10, len(w))
+        for s in range(len(w) - n + 1 if w else 0):
+            for at in range(len(has) - n + 1):
+                if has[at : at + n] == w[s : s + n]:
+                    hit |= set(range(at, at + n))
+                    ids |= {str(item)} if item is not None else set()
+    return len(has), len(hit), sorted(ids)
+
+
+def case():
+    rng = random.Random(3)
+    vocabulary = ["the", "of"] * 10 + ["w%d" % i for i in range(60)]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, prose(rng.randrange(12, 40))) for i in range(8)]
+    items += [(20, "Short One, here"), (21, "solo"), (22, ""), (23, None), (None, prose(15)), (0, prose(20)), (1, items[1][1])]
+    docs = [(i, prose(120)) for i in range(6)]
+    docs += [(10 + i, prose(9) + " " + t.upper() + "! " + prose(5)) for i, (_, t) in enumerate(items) if t]
+    docs += [(30, "short one -- HERE solo"), (31, None), (32, ""), (None, items[0][1]), (None, prose(30)), (33, items[2][1]), (33, items[2][1]), (33, prose(20))]
+    docs += [(40, " ".join([items[3][1]] * 50)), (41, " ".join(items[4][1].split()[5:])), (42, " ".join(items[4][1].split()[:9]))]
+    return docs, items
+
+
+def test_equals_brute_force(spark, monkeypatch):
+    docs, items = case()
+    d = spark.createDataFrame([(*r, 1, "x") for r in docs], "doc_id BIGINT, text STRING, item INT, k STRING")
+    b = spark.createDataFrame([(*r, "y") for r in items], "item_id BIGINT, text STRING, words STRING")
+    expected = sorted(((i or 0, *plain(t, items)) for i, t in docs), key=repr)
+
+    def results():
+        out = decontaminate.contamination(d, b).collect()
+        assert all(r.contaminated == (r.n_hit > 0) and r.n_items == len(r.item_ids) for r in out)
+        return sorted(((r.doc_id or 0, r.n_words, r.n_hit, list(r.item_ids)) for r in out), key=repr)
+
+    assert results() == expected
+    kept = decontaminate.clean_documents(d, b)
+    assert kept.columns == d.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted((i or 0, t or "") for i, t in docs if not plain(t, items)[1])
+    # Everything shuffled instead of broadcast.
+    monkeypatch.setattr(decontaminate, "sent_if_small", lambda df, size: df)
+    assert results() == expected
+
+
+def test_empty_tables(spark):
+    docs, items = case()
+    d = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    b = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    assert decontaminate.contamination(d.limit(0), b).count() == 0
+    assert not [r for r in decontaminate.contamination(d, b.limit(0)).collect() if r.contaminated]

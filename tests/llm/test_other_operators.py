@@ -1,0 +1,134 @@
+"""License scan, sharding, toxicity and page text on small cases."""
+
+import random
+import re
+from collections import defaultdict
+
+from tillscope.llm import htmltext, licenses, sharding, toxicity
+
+
+def test_licenses(spark):
+    mit = dict((label, text) for label, text in licenses.TEMPLATES)["bsd"]
+    rows = [
+        (1, "Gnu General Public License, and the GNU\nGENERAL public license", "a"),
+        (2, "licensed under CC BY-NC 4.0. apache license. Apache-license", "b"),
+        (3, f"first\n{mit} and so on\nlast", "c"),
+        (4, " ".join(mit.split()[:8]), "d"),
+        (5, None, None), (6, "", "x"), (7, "mit\nlicense", "y"), (None, "MIT License", "z"), (None, "MIT License", "z"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, labels STRING")
+    got = defaultdict(list)
+    for r in licenses.scan(docs).collect():
+        got[r.doc_id].append((r.n_base, r.first_word, r.last_word, ",".join(r.base_labels), ",".join(r.labels), round(r.score, 3)))
+    assert got[1] == [(2, 0, 6, "gpl", "gpl", 1.0)]
+    assert got[2] == [(3, 2, 9, "apache,cc-by", "apache,cc-by", 1.0)]
+    assert got[3] == [(0, None, None, "", "bsd", 1.0)]
+    assert got[4] == got[5] == got[6] == [(0, None, None, "", "", 0.0)]
+    assert got[7] == [(1, 0, 0, "mit", "mit", 1.0)]
+    assert got[None] == [(1, 0, 0, "mit", "mit", 1.0)] * 2
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_similarity_join_loses_no_block(spark):
+    """Filters against plain containment, on blocks around the threshold."""
+    rng = random.Random(6)
+    words = sorted({w for _, t in licenses.TEMPLATES for w in licenses.template_words(t)})
+    lines = []
+    for _, text in licenses.TEMPLATES:
+        own = licenses.template_words(text)
+        for share in (0.7, 0.8, 0.9, 1.0):
+            picked = rng.sample(own, round(share * len(own))) + rng.sample(words, 4) + ["other"]
+            rng.shuffle(picked)
+            lines.append(" ".join(picked))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id BIGINT, text STRING")
+    for r in licenses.scan(docs).collect():
+        has = set(lines[r.doc_id].split())
+        expected = {
+            label for label, text in licenses.TEMPLATES
+            if len(has & set(licenses.template_words(text))) >= licenses.needed(licenses.template_words(text), licenses.THRESHOLD)
+        }
+        assert expected <= set(r.labels) and set(r.labels) - expected <= set(r.base_labels), lines[r.doc_id]
+
+
+def test_shards_hold_their_limit(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, "x" * rng.randrange(400), "s") for i in range(400)]
+    rows += [(7_000, "same", "s")] * 100 + [(None, None, "n")] * 3 + [(8_000, "y" * 5_000, "big")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, shard STRING").withColumnRenamed("shard", "depth_of")
+    out = sharding.sharded(docs, 2_000).collect()
+    assert len(out) == len(rows)
+    size, count = defaultdict(int), defaultdict(int)
+    for r in out:
+        size[r.shard] += r.n_bytes
+        count[r.shard] += 1
+        assert len(r.shard.split("-")[0]) == r.depth
+    assert all(size[s] <= 2_000 or count[s] == 1 for s in size)
+    # No shard's parent would have fitted.
+    whole = defaultdict(int)
+    for r in out:
+        whole[r.shard.split("-")[0][:-1]] += 0 if "-" in r.shard else r.n_bytes
+    parents = {s[:-1] for s in size if s and "-" not in s}
+    total = lambda p: sum(n for s, n in size.items() if s.startswith(p))
+    assert all(total(p) > 2_000 for p in parents)
+    assert sharding.sharded(docs.limit(0), 2_000).count() == 0
+    one = sharding.sharded(docs.limit(3), 1 << 20).collect()
+    assert {(r.shard, r.depth) for r in one} == {("", 0)}
+    sharding.write_shards(docs, f"{tmp_path}/shards", 2_000)
+    assert spark.read.parquet(f"{tmp_path}/shards").count() == len(rows)
+
+
+def test_grammar():
+    grammar = toxicity.Grammar(-2.0, {"grobi": 4.0})
+    score = grammar.score
+    assert score("") == score("A calm day.") < 0.2
+    assert score("You are a grobian.") >= toxicity.TOXIC
+    assert score("You idiot, you moron.") >= toxicity.TOXIC
+    assert score("He is not a grobian.") < score("He is a grobian.")
+    assert score("She said: grobian.") < score("She is a grobian.")
+    assert score("I will kill you") > score("They kill time") == score("A calm day.")
+    assert score("agrobian idiotic") == score("A calm day.")
+
+
+def test_toxicity_on_held_out_rows(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    prior, stems = toxicity.lexicon(docs, labels)
+    rows = [(1, None), (2, ""), (None, "You idiot, you moron."), (None, "You idiot, you moron.")]
+    small = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id BIGINT, text STRING, score DOUBLE")
+    got = [(r.doc_id, r.score >= toxicity.TOXIC) for r in toxicity.scored(small, prior, stems).collect()]
+    assert sorted(got, key=repr) == [(1, False), (2, False), (None, True), (None, True)]
+    found = toxicity.scored(docs, prior, stems).join(labels, "doc_id").filter(~toxicity.may_train()).collect()
+    wrong = [r for r in found if (r.score >= toxicity.TOXIC) != bool(r.toxic)]
+    assert len(wrong) <= 0.15 * len(found)
+    assert not [r for r in wrong if not r.toxic]
+    assert toxicity.lexicon(docs.limit(0), labels.limit(0)) == (toxicity.PRIOR, {})
+
+
+PAGE = """<!DOCTYPE html><html><head><title>Out</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<header><h2>Site</h2></header><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>no</p> -->
+<div class="cookie-notice">We use cookies</div><aside>Side words</aside><article><h1>One &amp; two</h1>
+<p>First <b>bold</b> para,<br>next\nline &#233;&nbsp;x</p><div class="ad">Buy</div><p>Second
+<form><input name=q>Search</form></p><ul><li>item</li></ul><section id="comments"><p>Nice post</p></section></article>
+<footer>&copy; Foot</footer></body></html>"""
+
+
+def test_page_text(spark):
+    text = "One & two\nFirst bold para, next line é x\nSecond\nitem"
+    cut = PAGE[: PAGE.index("<form>")]
+    rows = [(1, "u", PAGE, "a"), (2, "v", None, "b"), (3, None, "", "c"), (3, None, "", "c"), (4, "w", "just words", "d"), (5, "x", cut, "e"), (None, "y", "<nav>menu</nav>", "f")]
+    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING, text STRING")
+    got = sorted(((r.page_id or 0, r.url, r.text) for r in htmltext.extracted(pages).collect()), key=repr)
+    assert got == sorted(
+        [(1, "u", text), (2, "v", ""), (3, None, ""), (3, None, ""), (4, "w", "just words"), (5, "x", text[: text.rindex("\n")]), (0, "y", "")], key=repr
+    )
+    assert htmltext.extracted(pages.limit(0)).count() == 0
+
+
+def test_pages_equal_their_articles(spark, sf_dir):
+    import html
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    source = {(r.page_id, r.url): r.html for r in pages.collect()}
+    for r in htmltext.extracted(pages).collect():
+        article = re.search(r"<article>(.*?)(</article>|\Z)", source[r.page_id, r.url], re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
+        assert r.text == "\n".join(b for b in blocks if b)
