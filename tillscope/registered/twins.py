@@ -50,14 +50,13 @@ owners AS (
          n // {_SIZE} * {_SIZE} + {_SIZE} - 1 AS end_ip
   FROM (
     SELECT n, CAST(8 + n // 16777216 % 9 AS INTEGER) AS p, geoname_id
-    FROM (SELECT {_spread('c_custkey')} AS n, CAST(c_nationkey AS BIGINT) AS geoname_id
+    FROM (SELECT {_spread('c_custkey')} % 3758096384 AS n, CAST(c_nationkey AS BIGINT) AS geoname_id
           FROM customer)
     UNION ALL
-    SELECT {_spread('s_suppkey', 123456789)}, CAST(9 + s_suppkey % 5 AS INTEGER),
+    SELECT {_spread('s_suppkey', 123456789)} % 3758096384, CAST(9 + s_suppkey % 5 AS INTEGER),
            CAST(s_nationkey AS BIGINT)
     FROM supplier
   )
-  WHERE n < 3758096384
 )"""
 
 _BLOCKS = f"""{_OWNERS},

@@ -70,27 +70,29 @@ def events_as_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _below_224(address: str) -> str:
+    """The address, or for one from 224.0.0.0 up its distance from there, in SQL."""
+    return f"({address}) % 3758096384L"
+
+
 def block_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per owner: address, prefix_len, geoname_id.
 
     Customers' blocks never overlap each other, as the length (8 to 16) depends on the
-    first octet alone. Suppliers' blocks (9 to 13) overlap them. Nothing lies at 224.0.0.0
-    or above.
+    first octet alone. Suppliers' blocks (9 to 13) overlap them. All lie below
+    224.0.0.0.
     """
     customers = table(spark, sf_dir, "customer").select(
-        F.expr(spread("c_custkey")).alias("address"),
+        F.expr(_below_224(spread("c_custkey"))).alias("address"),
         F.col("c_nationkey").cast("long").alias("geoname_id"),
     )
     suppliers = table(spark, sf_dir, "supplier").select(
-        F.expr(spread("s_suppkey", offset=123456789)).alias("address"),
+        F.expr(_below_224(spread("s_suppkey", offset=123456789))).alias("address"),
         F.expr("CAST(9 + s_suppkey % 5 AS INT)").alias("prefix_len"),
         F.col("s_nationkey").cast("long").alias("geoname_id"),
     )
-    return (
-        customers.withColumn("prefix_len", F.expr("CAST(8 + shiftright(address, 24) % 9 AS INT)"))
-        .unionByName(suppliers)
-        .where(F.expr("shiftright(address, 24) < 224"))
-    )
+    lengths = F.expr("CAST(8 + shiftright(address, 24) % 9 AS INT)")
+    return customers.withColumn("prefix_len", lengths).unionByName(suppliers)
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
