@@ -65,7 +65,8 @@ def op4_toxicity(spark, sf_dir):
 @registered
 def op5_quality_rules(spark, sf_dir):
     rows = quality.judged(table(spark, sf_dir, "documents"), ["doc_id"])
-    return rows.select("doc_id", "_quality.*")
+    near = {c: F.round(c, 6) for c in ("class_distance", "word_distance")}
+    return rows.select("doc_id", "_quality.*").withColumns(near)
 
 
 @registered

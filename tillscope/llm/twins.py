@@ -97,3 +97,79 @@ FROM placed
 
 
 SQL_TWINS["op10_extendible_sharding"] = _sharding_twin()
+
+
+def _quality_twin() -> str:
+    from tillscope.llm import quality as q
+
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    listed = lambda xs: "[" + ", ".join(map(quoted, xs)) + "]"
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    found = ", ".join(f"length(t) - length(translate(t, {quoted(c)}, ''))" for c in q.CLASSES)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+cut AS (
+  SELECT r, doc_id, lang, t, length(translate(t, {space}, '')) AS word_chars,
+    list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: length(translate(x, {space}, '')) > 0) AS lines
+  FROM docs
+),
+counted AS (
+  SELECT r, doc_id, lang, w, len(w) AS n_words, word_chars, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    [{found}, length(t) - word_chars, strlen(t) - length(t)] AS known, strlen(t) AS n_bytes
+  FROM cut
+),
+places AS (SELECT r, w, unnest(range(1, n_words - 1)) AS i FROM counted WHERE n_words >= 3),
+windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n FROM places),
+repeated AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM windows, (VALUES (0), (1), (2)) AS s(k) WHERE n > 1 GROUP BY r
+),
+words AS (SELECT r, unnest(w) AS word FROM counted),
+tally AS (SELECT r, word, count(*) AS n FROM words WHERE word IN {tuple(q.BINS)!r} GROUP BY r, word),
+bins AS (SELECT generate_subscripts({listed(q.BINS)}, 1) AS i, unnest({listed(q.BINS)}) AS word),
+common AS (
+  SELECT r, i, coalesce(n, 0) AS c FROM counted CROSS JOIN bins LEFT JOIN tally USING (r, word)
+  UNION ALL
+  SELECT r, {len(q.BINS) + 1}, n_words - coalesce((SELECT sum(n) FROM tally WHERE tally.r = counted.r), 0) FROM counted
+),
+classes AS (
+  SELECT r, generate_subscripts(known, 1) AS i, unnest(known) AS c FROM counted
+  UNION ALL SELECT r, {q.N_CLASSES}, n_bytes - list_sum(known) FROM counted
+),
+histograms AS (SELECT 'c' AS kind, r, i, c FROM classes UNION ALL SELECT 'w', r, i, c FROM common),
+shares AS (SELECT kind, r, i, c, sum(c) OVER (PARTITION BY kind, r) AS total FROM histograms),
+sums AS (
+  SELECT kind, lang, i, sum(floor(c * {q.UNIT}::DOUBLE / total)) AS v
+  FROM shares JOIN counted USING (r)
+  WHERE lang IN {tuple(q.COMMON_WORDS)!r} AND n_words >= {q.LEAST_FOR_WORDS} GROUP BY kind, lang, i
+),
+refs AS (SELECT kind, lang, i, v / sum(v) OVER (PARTITION BY kind, lang) AS q FROM sums),
+terms AS (
+  SELECT kind, r, lang, c / total AS p, q, (c / total + q) / 2 AS m
+  FROM shares JOIN refs USING (kind, i) WHERE total > 0
+),
+distances AS (
+  SELECT kind, r, lang, sqrt(greatest(0, sum(
+    CASE WHEN p > 0 THEN p * log2(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / m) ELSE 0 END) / 2)) AS d
+  FROM terms GROUP BY kind, r, lang
+),
+nearest AS (
+  SELECT r, min(d) FILTER (kind = 'c') AS class_distance, min(d) FILTER (kind = 'w') AS word_distance FROM distances GROUP BY r
+),
+measured AS (
+  SELECT doc_id, n_words, word_chars, known[{len(q.CLASSES)}] AS n_symbols, n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    class_distance, word_distance,
+    n_words < {q.LEAST_WORDS} OR 100 * coalesce(n, 0) > {q.MOST_REPEATED} * n_words AS base_failed
+  FROM counted LEFT JOIN repeated USING (r) LEFT JOIN nearest USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance, base_failed,
+  NOT base_failed
+    AND NOT coalesce(n_words >= {q.LEAST_FOR_CLASSES} AND class_distance > {q.MOST_BY_CLASS}, false)
+    AND NOT coalesce(n_words >= {q.LEAST_FOR_WORDS} AND (word_distance > {q.MOST_BY_WORD}
+      OR class_distance + word_distance > {q.MOST_BY_BOTH}), false) AS kept
+FROM measured
+"""
+
+
+SQL_TWINS["op5_quality_rules"] = _quality_twin()
