@@ -34,7 +34,7 @@ from tillscope.operators.ranking import sort_desc
 from tillscope.plans import reports, views
 from tillscope.session import scratch_path
 from tillscope.sinks import append_lines, write_all, write_csv
-from tillscope.sinks.files import flags_as_ints, lines_of
+from tillscope.sinks.files import flags_as_ints, lines_of, write_purchases
 from tillscope.sources import catalog, files, schemas, startables, synthetic
 from tillscope.streaming import LineSink, ingest_lines, read_line_stream, read_sink
 
@@ -393,6 +393,14 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_purchases(spark, path)
 
 
+@_registered
+def purchase_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "purchase-lines")
+    quoted = F.concat(F.lit('"'), "name", F.lit('" \\'))
+    write_purchases(startables.purchases(spark, sf_dir).withColumn("name", quoted), path)
+    return files.read_purchases(spark, path)
+
+
 @_registered
 def quoted_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "countries-csv")

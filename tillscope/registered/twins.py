@@ -243,6 +243,8 @@ SELECT strftime(ts, '%Y-%m-%d') AS dt, min(epoch_us(ts) // 1000) AS first_ms,
 FROM sales WHERE category IS NOT NULL GROUP BY 1""",
     "csv_roundtrip": f"""{_with(_SALES)}
 SELECT name, price, ts, coalesce(category, '') AS category, ip FROM sales""",
+    "purchase_lines_roundtrip": f"""{_with(_SALES)}
+SELECT '"' || name || '" \\' AS name, price, ts, category, ip FROM sales""",
     "quoted_csv_roundtrip": f"""{_with(_COUNTRIES)}
 SELECT s_suppkey AS geoname_id, locale_code, continent_code, continent_name, country_iso_code,
        country_name || ', the "' || s_name || '" of \\' AS country_name, is_in_e

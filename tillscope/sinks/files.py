@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.sources.schemas import NULL_MARK
+
 LAYOUTS = ("flat", "dt", "ymd")
 
 
@@ -87,3 +89,22 @@ def lines_of(df: DataFrame, *columns: str) -> DataFrame:
             ",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
         ).alias("value")
     )
+
+
+def write_purchases(purchases: DataFrame, path: str) -> None:
+    """Purchases as lines that `read_purchases` reads back as they are.
+
+    The lines have no quoting, so a text that would not come back (with a comma or a line
+    break, with blanks around, or the mark of a NULL) fails the write.
+    """
+    def text(name: str) -> Column:
+        value = F.col(name)
+        lost = value.rlike("[,\\n\\r]") | (value != F.trim(value, F.lit(" \t"))) | (value == NULL_MARK)
+        refused = F.raise_error(F.concat(F.lit(f"no purchase line can hold {name}: "), value)).cast("string")
+        return F.when(lost, refused).otherwise(F.coalesce(value, F.lit(NULL_MARK)))
+
+    fields = [
+        text("name"), F.col("price").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        text("category"), text("ip"),
+    ]
+    purchases.select(F.concat_ws(",", *fields).alias("value")).write.mode("overwrite").text(path)

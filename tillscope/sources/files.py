@@ -11,12 +11,13 @@ from tillscope.functions.moments import parse_moment_sql
 from tillscope.functions.money import PRICE_LIMIT
 from tillscope.operators.computed import compute_once
 from tillscope.sources import schemas
+from tillscope.sources.schemas import NULL_MARK
 
 REJECTED = "rejected_line"
 
 def _text(i: int) -> str:
-    """Field i without blanks around."""
-    return f"trim(BOTH ' \\t' FROM get(_fields, {i}))"
+    """Field i without blanks around; the mark of a NULL is NULL."""
+    return f"nullif(trim(BOTH ' \\t' FROM get(_fields, {i})), '{NULL_MARK.replace(chr(92), 2 * chr(92))}')"
 
 
 # The rule of a good purchase line, shared by the reader, the ingest and the catalog view.

@@ -2,6 +2,9 @@
 
 from pyspark.sql import types as T
 
+#: What stands for NULL in a purchase line.
+NULL_MARK = "\\N"
+
 PURCHASES = T.StructType(
     [
         T.StructField("name", T.StringType()),
