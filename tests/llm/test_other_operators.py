@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 from collections import defaultdict
 
 from tillscope.llm import htmltext, licenses, sharding, toxicity
@@ -29,6 +30,23 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    rows = []
+    for label, text in licenses.TEMPLATES:
+        for width in (40, 60, 72, 80):
+            for sign in ("", "# ", " * "):
+                body = "\n".join(sign + x for x in textwrap.wrap(text, width))
+                rows.append((len(rows), f"{sign}calm words before\n{body}\n{sign}and some after it", label))
+    bsd = dict(licenses.TEMPLATES)["bsd"].split()
+    far = "\n".join(" ".join(bsd[k : k + 5] + ["calm"] * 40) for k in range(0, len(bsd), 5))
+    rows.append((len(rows), far, ""))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, label STRING")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    for i, text, label in rows[:-1]:
+        assert label in got[i].labels and got[i].score == 1.0, text
+    assert (got[rows[-1][0]].labels, got[rows[-1][0]].score) == ([], 0.0)
+
+
 def test_similarity_join_loses_no_block(spark):
     """Filters against plain containment, on blocks around the threshold."""
     rng = random.Random(6)

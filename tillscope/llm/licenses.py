@@ -1,13 +1,15 @@
 """License notices in documents: fixed phrases, and a set-similarity join with templates.
 
-The blocks of a document are its lines. A block meets a template if it holds at least THRESHOLD
-of the template's different words. All words of templates are ordered by the number of documents
-that have them, rarest first; in that order
+The blocks of a document are its lines and, as a notice is often wrapped over lines, all runs of
+its words that are 1 / THRESHOLD times as long as the template. A block meets a template if it
+holds at least THRESHOLD of the template's different words. All words of templates are ordered by
+the number of documents that have them, rarest first; in that order
 - length: a block with fewer template words than the needed overlap is left out at once,
 - prefix: block and template must share a word of their first words, as many as leave too few
   for the overlap when all of them differ,
 - position: what follows the first shared word on both sides must still allow the overlap.
-What passes is counted exactly. Templates are a parameter of a few lines, so each task has all
+What passes is counted exactly. Runs of words are looked at only around words of the prefix, and
+only in a document that passes as one block. Templates are a parameter of a few lines, so each task has all
 of them in its expressions and the join moves no document.
 """
 
@@ -94,6 +96,25 @@ def _containment(block: Column, words: list[str], order: list[str], threshold: f
     ).otherwise(0.0)
 
 
+def _in_runs(text: Column, words: list[str], length: int, order: list[str], threshold: float) -> Column:
+    """Largest share of the template's words in `length` consecutive words; 0 if below the threshold."""
+    rank = {w: i for i, w in enumerate(order)}
+    least = needed(words, threshold)
+    prefix = sorted(words, key=rank.__getitem__)[: len(words) - least + 1]
+    own = _strings(words)
+
+    def overlap(first: Column, n) -> Column:
+        return F.size(F.array_intersect(own, F.slice(text, first + 1, n)))
+
+    # A run that holds enough has a word of the prefix; what lies around that word holds the run.
+    places = F.filter(F.sequence(F.lit(0), F.size(text) - 1), lambda i: F.get(text, i).isin(prefix))
+    begin = lambda i: F.greatest(i - (length - 1), F.lit(0))
+    near = F.filter(places, lambda i: overlap(begin(i), F.lit(2 * length - 1)) >= least)
+    starts = F.array_distinct(F.flatten(F.transform(near, lambda i: F.sequence(begin(i), i))))
+    most = F.coalesce(F.array_max(F.transform(starts, lambda i: overlap(i, F.lit(length)))), F.lit(0))
+    return let(most, lambda n: F.when(n >= least, n / len(words)).otherwise(0.0))
+
+
 def _places(words: Column, joined: Column, phrase: str) -> Column:
     """Starts of a phrase among the words; texts without it are not searched word by word."""
     parts = phrase.split(" ")
@@ -113,12 +134,13 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_
     """(doc_id, n_base, first_word, last_word, base_labels, labels, score) of every row.
 
     n_base counts the places of all phrases; first_word and last_word are their smallest and
-    largest start. labels are those of phrases and of templates met by a line, arrays sorted.
-    score is 1 with a phrase, else the largest share of a template that a line holds, if it
+    largest start. labels are those of phrases and of templates met by a block, arrays sorted.
+    score is 1 with a phrase, else the largest share of a template that a block holds, if it
     reaches the threshold, else 0. NULL and empty texts have nothing. Rows stay as they are
     repeated; an empty table gives an empty result.
     """
     sets = [(label, template_words(text)) for label, text in templates]
+    lengths = [math.ceil(len([w for w in re.split(NOT_WORD, text.lower()) if w]) / threshold - 1e-9) for _, text in templates]
     lowered = only(docs, doc_id=id_col, text=text_col).select(
         "doc_id", ascii_lower(whole_text("text")).alias("lower")
     )
@@ -132,15 +154,23 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_
         F.transform(F.split("lower", "\n"), lambda x: F.array_intersect(_strings(order), F.split(x, NOT_WORD))),
         lambda b: F.size(b) >= shortest,
     )
-    rows = rows.select("doc_id", F.array(*places).alias("places"), blocks.alias("blocks"))
-
-    def best(words: list[str]) -> Column:
+    # The words of templates in the whole document, in the global order.
+    rows = rows.withColumn("held", F.array_intersect(_strings(order), "words"))
+    runs = [
+        F.when(_containment(F.col("held"), words, order, threshold) > 0, _in_runs(F.col("words"), words, length, order, threshold))
+        .otherwise(0.0)
+        for (_, words), length in zip(sets, lengths)
+    ]
+    runs = F.when(F.size("held") >= shortest, F.array(*runs)).otherwise(F.array().cast("array<double>"))
+    rows = rows.select("doc_id", F.array(*places).alias("places"), blocks.alias("blocks"), runs.alias("runs"))
+
+    def best(k: int, words: list[str]) -> Column:
         shares = F.transform("blocks", lambda b: _containment(b, words, order, threshold))
-        return F.coalesce(F.array_max(shares), F.lit(0.0))
+        return F.greatest(F.coalesce(F.array_max(shares), F.lit(0.0)), F.get("runs", F.lit(k)))
 
     met = F.when(
-        F.size("blocks") > 0,
-        F.array(*[F.struct(best(words).alias("share"), F.lit(label).alias("label")) for label, words in sets]),
+        F.size("runs") > 0,
+        F.array(*[F.struct(best(k, words).alias("share"), F.lit(label).alias("label")) for k, (label, words) in enumerate(sets)]),
     ).otherwise(F.array().cast("array<struct<share:double,label:string>>"))
     rows = rows.select("doc_id", "places", F.filter(met, lambda m: m["share"] > 0).alias("met"))
     base = F.array_sort(F.array_distinct(F.flatten(F.array(*[
