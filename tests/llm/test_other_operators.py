@@ -121,6 +121,19 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     assert toxicity.lexicon(docs.limit(0), labels.limit(0)) == (toxicity.PRIOR, {})
 
 
+def test_each_labelled_text_counts(spark):
+    """Texts that share their common words are observations of their own; exact copies are not."""
+    names = ["alba", "bruno", "carla", "dario", "elena", "fabio", "gina", "hugo", "ines", "jonas", "karla", "lino"]
+    texts = [f"the people are {'zorbling' if k % 2 else 'quiet'} near {name} and the {other}"
+             for k, name in enumerate(names) for other in ("house", "river", "field", "tower")]
+    rows = [(i, t, int("zorbling" in t)) for i, t in enumerate(2 * texts)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, toxic INT")
+    kin = {(r.kin, tuple(sorted(r.words))) for r in toxicity.labelled(docs, docs).collect()}
+    assert len({k for k, _ in kin}) == len(kin) == len({w for _, w in kin}) > 12
+    _, stems = toxicity.lexicon(docs, docs)
+    assert any("zorbling".startswith(s) for s in stems)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>Out</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><h2>Site</h2></header><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>no</p> -->
 <div class="cookie-notice">We use cookies</div><aside>Side words</aside><article><h1>One &amp; two</h1>

@@ -54,8 +54,8 @@ def may_train(id_col: str = "doc_id"):
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(toxic, kin, words): a bounded sample of the labelled documents that may be learned from.
 
-    kin is the least hash of the words, which near copies share, so that a document of many
-    copies counts about once.
+    kin is a hash of all different words, in any order: each different text is one observation,
+    and a document of many copies counts once.
     """
     rows = only(labels, doc_id="doc_id", toxic="toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(may_train())
     n = rows.count()
@@ -65,7 +65,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # Bounded by SAMPLE rows of two numbers.
     texts = texts.join(F.broadcast(drawn), "doc_id")
     words = texts.select("toxic", F.array_distinct(alnum_words("text")).alias("words")).filter(F.size("words") > 0)
-    return words.select("toxic", F.array_min(F.transform("words", lambda w: F.xxhash64(w))).alias("kin"), "words")
+    return words.select("toxic", F.xxhash64(F.array_sort("words")).alias("kin"), "words")
 
 
 def likelihood_ratio(t: int, c: int, toxic: int, clean: int) -> float:
