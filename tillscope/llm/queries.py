@@ -34,12 +34,12 @@ def op2_license_scan(spark, sf_dir):
 
 @registered
 def op3_substring_dedup(spark, sf_dir):
-    rows = passages.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    rows = passages.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"], linked=True)
     of = F.transform("_passages.repeats", lambda r: r["of"])
     return rows.select(
         "doc_id",
-        F.coalesce(F.array_min(F.filter(of, lambda d: d < F.col("doc_id"))), F.col("doc_id")).alias("class_id"),
-        F.size(of).cast("long").alias("n_links"),
+        F.coalesce("_passages.class_id", "doc_id").alias("class_id"),
+        "_passages.n_links",
         "_passages.n_words",
         "_passages.n_removed",
         "_passages.n_spans",
