@@ -75,5 +75,21 @@ def sent_if_small(df: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(df) if total <= SENT else df
 
 
+#: A group of more than one row in HEAVY is a large one, so there are fewer large ones than HEAVY.
+HEAVY = 10_000
+
+
+def joined_to_groups(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+    """Rows with what is known of their group: `groups` has each key once, and n, its rows.
+
+    The large groups among `total` rows, fewer than HEAVY, are sent to every task, so that no
+    task gets all rows of one; the others are shuffled.
+    """
+    large = groups.filter(F.col("n") * HEAVY > total)
+    small = groups.filter(F.col("n") * HEAVY <= total)
+    rest = rows.join(F.broadcast(large.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(large), key).unionByName(rest.join(small, key))
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

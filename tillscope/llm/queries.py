@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillscope.llm import bpe, decontaminate, htmltext, licenses, passages, quality, sharding, simhash, suffixes, toxicity
+from tillscope.llm import (
+    bpe,
+    decontaminate,
+    divergence,
+    htmltext,
+    interactions,
+    licenses,
+    passages,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    toxicity,
+    warc,
+)
 from tillscope.llm.common import table
 
 QUERIES = {}
@@ -107,3 +121,19 @@ def op9_html_extraction(spark, sf_dir):
 @registered
 def op10_extendible_sharding(spark, sf_dir):
     return sharding.sharded(table(spark, sf_dir, "documents"), columns=["doc_id"])
+
+
+@registered
+def op11_filter_interactions(spark, sf_dir):
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op12_warc(spark, sf_dir):
+    rows = warc.round_trip(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@registered
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))

@@ -173,3 +173,109 @@ FROM measured
 
 
 SQL_TWINS["op5_quality_rules"] = _quality_twin()
+
+SQL_TWINS["op11_filter_interactions"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+marked AS (
+  SELECT d.*, coalesce(m.good, false) AS good, coalesce(m.toxic, false) AS toxic,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM docs d LEFT JOIN (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+  ) m USING (doc_id)
+),
+failed AS (
+  SELECT part, good, toxic, list_filter([
+    CASE WHEN len(w) < 200 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN e THEN 'E' END
+  ], lambda x: x IS NOT NULL) AS fails FROM marked
+),
+sizes AS (SELECT part, fails, good, toxic, count(*) AS n FROM failed GROUP BY ALL),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+placed AS (SELECT o, step, o[step] AS own, o[1:step - 1] AS before FROM steps),
+counts AS (
+  SELECT part, o, step, own,
+    sum(CASE WHEN NOT list_has_any(fails, list_append(before, own)) THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN list_contains(fails, own) AND NOT list_has_any(fails, before) THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN list_contains(fails, own) AND list_has_any(fails, before) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = [own] THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN good AND list_contains(fails, own) AND NOT list_has_any(fails, before) THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN toxic AND list_contains(fails, own) AND NOT list_has_any(fails, before) THEN n ELSE 0 END) AS toxic_lost
+  FROM sizes, placed GROUP BY ALL
+)
+SELECT part, array_to_string(o, '') AS filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counts
+"""
+
+SQL_TWINS["op12_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b, row_number() OVER () AS r FROM pages
+),
+ranked AS (
+  SELECT page_id, b, count(*) OVER (PARTITION BY b) AS n,
+    row_number() OVER (PARTITION BY b ORDER BY page_id DESC NULLS LAST, r) AS k,
+    max(page_id) OVER (PARTITION BY b) AS best
+  FROM p
+),
+parts AS (
+  SELECT *, [CAST('0x' || substr(sha1(b), g, 10) AS BIGINT) FOR g IN [1, 11, 21, 31]] AS five FROM ranked
+)
+SELECT page_id, octet_length(b) AS payload_bytes,
+  array_to_string(flatten([
+    [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INTEGER + 1, 1) FOR s IN [35, 30, 25, 20, 15, 10, 5, 0]]
+    FOR v IN five]), '') AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN k > 1 THEN best END AS refers_to
+FROM parts
+"""
+
+SQL_TWINS["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+groups AS (SELECT DISTINCT lang, source FROM d),
+found AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+mass AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(m.n, 0) + v.v) AS p,
+    1 + (1000000000::HUGEINT * (k.total + 1)) // (v.n + v.v) AS q
+  FROM groups g JOIN v USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN mass m ON m.lang = g.lang AND m.source = g.source
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q),
+both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', item, value FROM terms
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+  FROM both_parts
+) WHERE part = 'pair' OR rank <= 200
+"""
