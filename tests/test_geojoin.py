@@ -74,6 +74,8 @@ def test_equals_brute_force(spark, join_mode, bounds, match, seed):
     )
     rows = spark.createDataFrame([(a,) for a in addresses] + [(None,)], "ip_long LONG")
     at_most = 1000 if join_mode == "few" else None
+    if join_mode == "few":
+        rows = rows.limit(at_most)  # what the plan proves; rows alone prove no number
     joined = cidr_join(rows, index, bounds=bounds, match=match, unique=True, at_most=at_most)
     plan = joined._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
@@ -97,6 +99,8 @@ def test_repeated_addresses_are_kept(spark, join_mode, match):
         .otherwise(F.lit(int(ipaddress.ip_address("20.0.0.0"))) + F.col("id"))
         .alias("ip_long"),
     )
+    if join_mode == "few":
+        rows = rows.limit(3000)
     counts = {
         r.geoname_id: r.cnt
         for r in cidr_join(rows, index, match=match, at_most=3000 if join_mode == "few" else None)
@@ -108,6 +112,23 @@ def test_repeated_addresses_are_kept(spark, join_mode, match):
     assert counts == expected
 
 
+def test_a_promise_that_the_plan_does_not_prove_is_not_believed(spark):
+    """Addresses that only the caller calls few are not broadcast, and all are joined."""
+    index = block_index(spark.createDataFrame([("10.0.0.0/8", 1)], "network STRING, g LONG"), broadcast_bytes=0)
+    rows = spark.createDataFrame([(167772160 + i,) for i in range(2000)], "ip_long LONG")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        joined = cidr_join(rows, index, at_most=10)
+        assert "SortMergeJoin" in joined._jdf.queryExecution().toString()
+        assert joined.count() == 2000
+        proven = cidr_join(rows.limit(10), index, at_most=10)
+        assert "SortMergeJoin" not in proven._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_hot_address_is_split_in_the_shuffle(spark):
     """A third of all rows on one join key: Spark cuts its partition into several tasks."""
     conf = {

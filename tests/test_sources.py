@@ -90,11 +90,11 @@ def test_country_names(spark, tmp_path):
 
 def test_blocks(spark, tmp_path):
     path = _write(
-        tmp_path / "blocks.csv", ["1.0.0.0/24,2077456,2077456,,0,0", "5.0.0.9/8,,3,4,1,1"]
+        tmp_path / "blocks.csv", ["9.8.0.0/21,515,717,,1,0", "5.0.0.9/8,,3,4,1,1"]
     )
     rows = {r.network: r for r in files.read_blocks(spark, path).collect()}
-    assert tuple(rows["1.0.0.0/24"])[1:] == (
-        2077456, 2077456, None, False, False, 24, 16777216, 16777471,
+    assert tuple(rows["9.8.0.0/21"])[1:] == (
+        515, 717, None, True, False, 21, 151519232, 151521279,
     )
     assert rows["5.0.0.9/8"].geoname_id is None
     assert rows["5.0.0.9/8"].is_satellite_provider is True

@@ -130,11 +130,11 @@ def test_bad_lines_do_not_block_the_file(spark, folders):
 
 def test_without_a_date_field_the_time_is_that_of_the_batch(spark, folders):
     sink = LineSink(str(folders / "raw"), "dt")
-    _drop(folders, "a.txt", ["1.0.0.0/24,2077456,2077456,,0,0"])
+    _drop(folders, "a.txt", ["9.8.0.0/21,515,717,,1,0"])
     before = datetime.date.today() - datetime.timedelta(days=1)
     _run(spark, folders, [sink], date_index=-1)
     row = read_sink(spark, sink).first()
-    assert row.value.startswith("1.0.0.0/24")
+    assert row.value.startswith("9.8.0.0/21")
     assert row.dt >= before.isoformat()
 
 
