@@ -1,4 +1,8 @@
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -69,3 +73,27 @@ def test_rows(spark):
     assert sorted((r.doc_id or 0, r.decoded) for r in back) == sorted((i or 0, t or "") for i, t, _ in rows)
     assert {r.n_tokens for r in back if r.doc_id in (2, 3)} == {0}
     assert bpe.decode(bpe.encode(docs.limit(0), PATH), PATH).count() == 0
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """The query in another folder, with workers whose path does not lead to the package."""
+    root = Path(__file__).resolve().parents[2]
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from tillscope.llm import bpe
+from tillscope.session import build_session
+spark = build_session("elsewhere", "local[2]", spark__checkpoint__dir={str(tmp_path)!r})
+docs = spark.createDataFrame([(i, f"text {{i}}") for i in range(50)], "doc_id BIGINT, text STRING")
+def importable(batches):
+    import importlib.util
+    yield from batches
+    if importlib.util.find_spec("tillscope"):
+        raise AssertionError("the test shows nothing: the package is on the path of the workers")
+docs.mapInArrow(importable, docs.schema).count()
+rows = bpe.decode(bpe.encode(docs.repartition(8), {PATH!r}), {PATH!r}).collect()
+assert sorted(r.decoded for r in rows) == sorted(f"text {{i}}" for i in range(50))
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]

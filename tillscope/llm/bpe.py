@@ -98,6 +98,13 @@ class Model:
         self.bytes_of |= {i: text.encode() for text, i in self.special.items()}
         self.lookahead = sufficient_lookahead(rules)
 
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        """A model over this state itself, so what a task remembers serves the next one."""
+        model = cls.__new__(cls)
+        model.__dict__ = state
+        return model
+
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("known", "find", "cut")}
 
@@ -177,13 +184,15 @@ class Model:
 
 def _per_row(rows: DataFrame, model: Model, take: str, give: str, kind: T.DataType, work) -> DataFrame:
     """Every row with one more column, computed from another in batches of Arrow."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded: a vocabulary of some MB
+    # Bounded: a vocabulary of some MB, in plain dicts and lists. A broadcast pickles classes by
+    # name, and executors need not have this package.
+    shared = rows.sparkSession.sparkContext.broadcast(model.__getstate__())
     drawn = T.StructType([*rows.schema, T.StructField(give, kind)])
     arrow = pa.binary() if isinstance(kind, T.BinaryType) else pa.string()
     place, names = rows.columns.index(take), [*rows.columns, give]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value.ready()
+        own = Model.of(shared.value).ready()
         for batch in batches:
             made = pa.array([work(own, v.as_py()) for v in batch.column(place)], arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=names)
