@@ -4,9 +4,11 @@ import ipaddress
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tillscope.operators import block_index, cidr_join
+from tillscope.operators import block_index, cidr_join, segments
 
 BAD_BLOCKS = [("1.2.3.4", 90), (None, 91), ("2001:db8::/32", 92), ("1.2.3.4/40", 93)]
 
@@ -76,7 +78,7 @@ def test_equals_brute_force(spark, join_mode, bounds, match, seed):
     at_most = 1000 if join_mode == "few" else None
     if join_mode == "few":
         rows = rows.limit(at_most)  # what the plan proves; rows alone prove no number
-    joined = cidr_join(rows, index, bounds=bounds, match=match, unique=True, at_most=at_most)
+    joined = cidr_join(rows, index, bounds=bounds, match=match, at_most=at_most)
     plan = joined._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert ("SortMergeJoin" in plan) == (join_mode == "shuffle")
@@ -183,6 +185,62 @@ def test_presence_is_bounded_by_the_space(spark):
     assert index.presence.agg(F.max(F.size("_lens"))).first()[0] == 1
 
 
+@pytest.mark.parametrize("bounds", ["inclusive", "strict"])
+def test_longest_match_in_crowded_areas(spark, join_mode, bounds):
+    """A /16 of thousands of blocks, one of as many as CROWDED, and blocks that span areas."""
+    rng = random.Random(7)
+    blocks = [("10.0.0.0/7", 1), ("10.1.0.0/16", 2), ("10.0.0.0/15", 3)]
+    for i in range(3000):
+        blocks.append((str(ipaddress.ip_network(((10 << 24) + (1 << 16) + rng.randrange(1 << 16), rng.randrange(20, 33)), strict=False)), 10 + i))
+    blocks += [(f"11.7.{i}.0/24", 5000 + i) for i in range(0, 2 * segments.CROWDED, 2)]
+    numbered = sorted(set(blocks))
+    addresses = sorted({(10 << 24) + (1 << 16) + rng.randrange(-300, (1 << 16) + 300) for _ in range(4000)} | {(11 << 24) + (7 << 16) + i * 100 for i in range(500)})
+    index = block_index(
+        spark.createDataFrame(numbered, "network STRING, geoname_id LONG"),
+        broadcast_bytes=10**30 if join_mode == "broadcast" else 0,
+    )
+    rows = spark.createDataFrame([(a,) for a in addresses], "ip_long LONG")
+    if join_mode == "few":
+        rows = rows.limit(10_000)
+    joined = cidr_join(rows, index, bounds=bounds, match="longest", at_most=10_000 if join_mode == "few" else None)
+    held = [(int(n[0]), int(n[-1]), n.prefixlen, text, g) for text, g in numbered for n in [ipaddress.ip_network(text)]]
+    edge = bounds == "strict"
+    expected = []
+    for a in addresses:
+        found = [(-p, text, g) for first, last, p, text, g in held if first + edge <= a <= last - edge]
+        expected += [(a, *min(found)[1:])] if found else []
+    assert sorted(tuple(r) for r in joined.collect()) == expected
+    most = index.segments(bounds).groupBy("_key").count().agg(F.max("count")).first()[0]
+    assert most <= 256
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 1023), st.integers(0, 10)), max_size=30))
+def test_sweep_gives_each_address_its_most_specific_block(drawn):
+    """On a space of ten bits, in cells of seven."""
+    blocks = {(n, x >> (10 - n) << (10 - n)) for x, n in drawn}
+    entries = []
+    for n, first in blocks:
+        last = first + (1 << (10 - n)) - 1
+        for cell in range(first >> 7, (last >> 7) + 1):
+            entries.append((cell, max(first, cell << 7), n, min(last, (cell << 7) + 127), (n, first)))
+    got = {}
+    for lo, hi, row in segments.swept((c, lo, hi, row) for c, lo, _, hi, row in sorted(entries)):
+        for x in range(lo, hi + 1):
+            assert x not in got
+            got[x] = row
+    covers = {x: [b for b in blocks if x >> (10 - b[0]) << (10 - b[0]) == b[1]] for x in range(1024)}
+    assert got == {x: max(found) for x, found in covers.items() if found}
+
+
+def test_longest_match_reads_the_blocks_once_and_joins_once(spark, tmp_path):
+    spark.createDataFrame([("10.0.0.0/8", 1)], "network STRING, geoname_id LONG").write.parquet(str(tmp_path / "b"))
+    rows = spark.range(100).select((F.col("id") + (10 << 24)).alias("ip_long"))
+    joined = cidr_join(rows, block_index(spark.read.parquet(str(tmp_path / "b"))), match="longest")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("HashJoin") + plan.count("SortMergeJoin") == 1
+
+
 def test_wrong_arguments(spark):
     index = block_index(spark.createDataFrame([("1.0.0.0/8", 1)], "network STRING, g LONG"))
     rows = spark.createDataFrame([(1, 2)], "ip_long LONG, g LONG")

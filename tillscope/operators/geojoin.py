@@ -14,6 +14,9 @@ address for each length that may match:
    and not for a quarter of the address space. The blocks are broadcast if the
    plan estimates few bytes for them; else both sides are shuffled by the key.
 
+The longest match needs neither: the blocks are cut into disjoint segments, each with its most
+specific block (`segments`), and an address meets the one that holds it.
+
 A few addresses, such as a top-k, are the smaller side themselves. Their probes of all 33
 lengths are broadcast, and the blocks are scanned once without any preparation.
 """
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tillscope.functions import cidr_prefix, network_of
 from tillscope.functions.address import cidr_address, last_of
+from tillscope.operators.segments import keys_of, sweep
 
 # Bytes, by the estimate of the plan, up to which the blocks are broadcast.
 BROADCAST_BYTES = 64 << 20
@@ -86,10 +90,12 @@ class BlockIndex:
             ),
         )
 
-    @cached_property
-    def leading(self) -> DataFrame:
-        """One row by join key, the least of the blocks' columns in their order: _key, _row."""
-        return self.entries.groupBy("_key").agg(F.min(F.struct(*self.columns)).alias("_row"))
+    def segments(self, bounds: str) -> DataFrame:
+        """By join key the disjoint segments, with the least row of their most specific block:
+        _key, lo, hi, row."""
+        blocks = self.ranges.filter("_first IS NOT NULL").groupBy("_len", "_first", "_last")
+        blocks = blocks.agg(F.min(F.struct(*self.columns)).alias("row"))
+        return sweep(blocks, bounds)
 
     @cached_property
     def presence(self) -> DataFrame:
@@ -178,15 +184,13 @@ def cidr_join(
     address: str = "ip_long",
     bounds: str = "inclusive",
     match: str = "all",
-    unique: bool = False,
     at_most: int | None = None,
 ) -> DataFrame:
     """Inner join of addresses to blocks: the columns of both.
 
     `bounds` is 'inclusive', or 'strict' to leave out a block's first and last address.
     `match` is 'all' for every block that holds the address, or 'longest' for the most
-    specific one (the least row of it, should the network occur twice). `unique` promises
-    that every row of `addresses` has a different address, which saves 'longest' a join.
+    specific one (the least row of it, should the network occur twice).
     `at_most` says that `addresses` has few rows, such as a limit; it counts only if the plan
     proves it.
     """
@@ -203,15 +207,16 @@ def cidr_join(
         found = _match(addresses, index, address, bounds, few)
         return found.select(*addresses.columns, *index.columns)
 
-    # The greatest length found names the network, as an address lies in one of each length.
-    # Only then is its row looked up, so what is aggregated is one integer per address.
-    keys = addresses if unique else addresses.select(address).distinct()
-    longest = (
-        _match(keys, index, address, bounds, few)
-        .groupBy(*keys.columns)
-        .agg(F.max("_len").alias("_len"))
-    )
-    best = _join_keyed(_with_key(longest, address), index.leading, index, few).select(
-        *keys.columns, "_row.*"
-    )
-    return best if unique else addresses.join(best, address)
+    if few:
+        # An address lies in one network of each length, so the greatest length names it.
+        found = _match(addresses.select(address).distinct(), index, address, bounds, few)
+        nearest = F.min(F.struct((-F.col("_len")).alias("_less"), F.struct(*index.columns).alias("_row")))
+        best = found.groupBy(address).agg(nearest.alias("_best")).select(address, "_best._row.*")
+        return addresses.join(F.broadcast(best), address)
+
+    segments = index.segments(bounds)
+    probes = addresses.withColumn("_key", F.explode(keys_of(address)))
+    found = probes.join(F.broadcast(segments) if index.small else segments, "_key")
+    # As in `_match`: no inferred filter.
+    held = F.coalesce(F.col(address).between(F.col("lo"), F.col("hi")), F.lit(False))
+    return found.where(held).select(*addresses.columns, "row.*")

@@ -154,7 +154,7 @@ def top_countries(
     spend = purchases.select(ip_to_long("ip").alias("ip_long"), exact_money("price").alias("spent"))
     if match != "all" or not index.small:
         spend = spend.groupBy("ip_long").agg(F.sum("spent").alias("spent"))
-    placed = cidr_join(spend, index, bounds=bounds, match=match, unique=True)
+    placed = cidr_join(spend, index, bounds=bounds, match=match)
     return rank_countries(placed, countries, k)
 
 
@@ -195,7 +195,7 @@ def all_reports(
     # Texts that mean one address are brought together, as a lookup per text would do.
     by_address = spent.groupBy("ip_long").agg(F.sum("spent").alias("spent"))
     placed = cidr_join(
-        by_address, index, bounds=bounds, match=match or "longest", unique=True
+        by_address, index, bounds=bounds, match=match or "longest"
     )
     frames = {
         "top_categories": rank_categories(by_category, k),

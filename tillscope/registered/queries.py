@@ -270,7 +270,7 @@ def geo_join_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_registered
 def geo_join_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _geo_join(spark, sf_dir, match="longest", unique=True)
+    return _geo_join(spark, sf_dir, match="longest")
 
 
 # Reports
