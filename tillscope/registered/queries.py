@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
+from itertools import groupby
+from operator import itemgetter
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +40,7 @@ from tillscope.session import scratch_path
 from tillscope.sinks import append_lines, write_all, write_csv
 from tillscope.sinks.files import flags_as_ints, lines_of, write_purchases
 from tillscope.sources import catalog, files, schemas, startables, synthetic
-from tillscope.streaming import LineSink, ingest_lines, read_line_stream, read_sink
+from tillscope.streaming import LineSink, follow_lines, ingest_lines, read_line_stream, read_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -620,6 +624,57 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _grow(lines: DataFrame, folder: str, sizes: dict[str, int], *, complete: bool) -> dict[str, int]:
+    """Append lines (log, value) to the files of a folder, each in one task; their new sizes.
+
+    The break of a last line is written with what follows, or with `complete`. A file is cut to
+    its known size first, so a task that runs again appends nothing twice.
+    """
+
+    def append(batches):
+        ends = {}
+        for batch in batches:
+            rows = zip(batch["log"].to_pylist(), batch["value"].to_pylist())
+            for log, of_log in groupby(rows, key=itemgetter(0)):
+                path = f"{folder}/{log}.log"
+                with open(path, "ab") as file:
+                    if path not in ends:
+                        file.truncate(sizes.get(path, 0))
+                    data = b"".join(b"\n" + value.encode() for _, value in of_log)
+                    file.write(data if file.tell() else data[1:])
+                    ends[path] = file.tell()
+        for path in ends if complete else ():
+            with open(path, "ab") as file:
+                ends[path] += file.write(b"\n")
+        yield pa.RecordBatch.from_pydict({"path": list(ends), "size": list(ends.values())})
+
+    dealt = lines.repartition("log").sortWithinPartitions("log", "value").select("log", "value")
+    return {r["path"]: r["size"] for r in dealt.mapInArrow(append, "path string, size long").collect()}
+
+
+@_registered
+def stream_growing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines appended to eight files, taken in after each of three rounds; the last line of a
+    round has no line break until the next one."""
+    scratch = scratch_path(spark, "stream-growing")
+    folder = "/" + scratch.removeprefix("file:").lstrip("/") + "/in"
+    os.makedirs(folder)
+    sink = LineSink(f"{scratch}/product", "dt", 20_000)
+    lines = _arriving_lines(spark, sf_dir)
+    sizes: dict[str, int] = {}
+    for part in range(3):
+        arrived = lines.where(F.col("event_id") % 3 == part).withColumn("log", F.col("event_id") % 8)
+        sizes |= _grow(arrived, folder, sizes, complete=part == 2)
+        ingest_lines(
+            follow_lines(spark, folder, range_bytes=1 << 20),
+            [sink],
+            checkpoint=f"{scratch}/checkpoint",
+            rejects=f"{scratch}/rejects",
+            date_index=2,
+        ).awaitTermination()
+    return read_sink(spark, sink)
+
+
 @_registered
 def ingest_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From arriving lines to a report on the catalog table over what the ingest wrote."""

@@ -280,6 +280,8 @@ SELECT id, 'product' || ((u0 * 20) >> 32) AS name,
        'category' || ((u1 * 20) >> 32) AS category, {_dotted('u2')} AS ip
 FROM drawn""",
     "stream_by_date": f"""{_with(_ARRIVED)}
+SELECT value, dt FROM arrived WHERE reason IS NULL""",
+    "stream_growing_files": f"""{_with(_ARRIVED)}
 SELECT value, dt FROM arrived WHERE reason IS NULL""",
     "stream_fanout": f"""{_with(_ARRIVED)}
 SELECT sink, CASE WHEN sink = 'raw' THEN 'all' ELSE dt END AS dt, count(*) AS lines,

@@ -1,5 +1,6 @@
 """Streaming ingest of text lines."""
 
+from tillscope.streaming.growing import follow_lines
 from tillscope.streaming.ingest import (
     LineSink,
     classify_lines,
@@ -8,4 +9,11 @@ from tillscope.streaming.ingest import (
     read_sink,
 )
 
-__all__ = ["LineSink", "classify_lines", "ingest_lines", "read_line_stream", "read_sink"]
+__all__ = [
+    "LineSink",
+    "classify_lines",
+    "follow_lines",
+    "ingest_lines",
+    "read_line_stream",
+    "read_sink",
+]
