@@ -36,8 +36,10 @@ from tillscope.operators import (
 from tillscope.operators.geojoin import block_index
 from tillscope.operators.ranking import sort_desc
 from tillscope.plans import reports, views
+from tillscope.plans.incremental import KeptReports
 from tillscope.session import scratch_path
 from tillscope.sinks import append_lines, write_all, write_csv
+from tillscope.sinks.commits import compact, read_committed
 from tillscope.sinks.files import flags_as_ints, lines_of, write_purchases
 from tillscope.sources import catalog, files, schemas, startables, synthetic
 from tillscope.streaming import LineSink, follow_lines, ingest_lines, read_line_stream, read_sink
@@ -559,8 +561,12 @@ def _ingest(
     sinks: list[LineSink],
     scratch: str,
     purchases: bool = False,
+    log: str | None = None,
+    max_files: int = 256,
+    after: Callable[[], object] = lambda: None,
 ) -> None:
-    """Ingest all lines in two runs on one checkpoint, new files arriving in between."""
+    """Ingest all lines in two runs on one checkpoint, new files arriving in between; `after`
+    each run something else."""
     lines = _arriving_lines(spark, sf_dir)
     for half in (0, 1):
         append_lines(
@@ -569,13 +575,15 @@ def _ingest(
             max_records_per_file=100_000,
         )
         ingest_lines(
-            read_line_stream(spark, f"{scratch}/in", max_files_per_trigger=256),
+            read_line_stream(spark, f"{scratch}/in", max_files_per_trigger=max_files),
             sinks,
             checkpoint=f"{scratch}/checkpoint",
             rejects=f"{scratch}/rejects",
             date_index=2,
             purchases=purchases,
+            log=log,
         ).awaitTermination()
+        after()
 
 
 @_registered
@@ -686,6 +694,49 @@ def ingest_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_categories(spark.table(name))
 
 
+@_registered
+def stream_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sinks that show all of a batch or nothing, one of them compacted after each run."""
+    scratch = scratch_path(spark, "stream-committed")
+    by_day, flat, log = LineSink(f"{scratch}/product", "dt"), LineSink(f"{scratch}/raw"), f"{scratch}/log"
+    _ingest(
+        spark, sf_dir, [by_day, flat], scratch, log=log, max_files=1,
+        after=lambda: compact(spark, log, by_day.path, by_day.layout),
+    )
+    copies = [
+        read_committed(spark, log, by_day.path, "dt").select(F.lit("product").alias("sink"), "dt", "value"),
+        read_committed(spark, log, flat.path).select(F.lit("raw").alias("sink"), F.lit("all").alias("dt"), "value"),
+    ]
+    return (
+        copies[0]
+        .unionByName(copies[1])
+        .groupBy("sink", "dt")
+        .agg(F.count(F.lit(1)).alias("lines"), F.max("value").alias("last_line"))
+    )
+
+
+@_registered
+def stream_kept_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three reports from aggregates that are brought up to date after each run of an ingest,
+    with a compaction of its lines in between."""
+    scratch = scratch_path(spark, "stream-kept")
+    sink, log = LineSink(f"{scratch}/product", "dt"), f"{scratch}/log"
+    kept = KeptReports(spark, f"{scratch}/store", log, sink.path)
+
+    def after() -> None:
+        kept.refresh()
+        compact(spark, log, sink.path, sink.layout)
+
+    _ingest(spark, sf_dir, [sink], scratch, purchases=True, log=log, after=after)
+    kept.refresh()
+    rows = [
+        kept.top_categories().select(F.lit("categories").alias("report"), F.col("category").alias("item"), F.col("cnt").cast("double").alias("amount")),
+        kept.top_products().select(F.lit("products"), F.concat_ws("/", "name", "category"), F.col("cnt").cast("double")),
+        kept.top_ips().select(F.lit("ips"), "ip", "sump"),
+    ]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
 @_registered
 def spend_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums of prices of fractions of a cent, half cents and negative ones."""

@@ -288,6 +288,24 @@ SELECT sink, CASE WHEN sink = 'raw' THEN 'all' ELSE dt END AS dt, count(*) AS li
        max(value) AS last_line
 FROM arrived, (VALUES ('product'), ('event'), ('raw')) AS s(sink)
 WHERE reason IS NULL GROUP BY 1, 2""",
+    "stream_committed": f"""{_with(_ARRIVED)}
+SELECT sink, CASE WHEN sink = 'raw' THEN 'all' ELSE dt END AS dt, count(*) AS lines,
+       max(value) AS last_line
+FROM arrived, (VALUES ('product'), ('raw')) AS s(sink)
+WHERE reason IS NULL GROUP BY 1, 2""",
+    "stream_kept_reports": f"""{_with(_ARRIVED)},
+good AS (
+  SELECT split_part(value, ',', 1) AS name, category, split_part(value, ',', 5) AS ip,
+         CAST(split_part(value, ',', 2) AS DECIMAL(18, 6)) AS price
+  FROM arrived WHERE reason IS NULL
+)
+(SELECT 'categories' AS report, category AS item, CAST(count(*) AS DOUBLE) AS amount
+ FROM good GROUP BY category ORDER BY amount DESC, item LIMIT 10)
+UNION ALL
+(SELECT 'products', name || '/' || category, CAST(count(*) AS DOUBLE) AS cnt
+ FROM good GROUP BY name, category ORDER BY cnt DESC, name, category LIMIT 10)
+UNION ALL
+(SELECT 'ips', ip, CAST(sum(price) AS DOUBLE) AS sump FROM good GROUP BY ip ORDER BY sump DESC, ip LIMIT 10)""",
     "ingest_table_report": f"""{_with(_ARRIVED)}
 SELECT category, count(*) AS cnt FROM arrived WHERE reason IS NULL
 GROUP BY category ORDER BY cnt DESC, category LIMIT 10""",

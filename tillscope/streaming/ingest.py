@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillscope.functions.moments import parse_moment_sql
+from tillscope.sinks.commits import commit_batch, write_folder
 from tillscope.sinks.files import layout_columns
 from tillscope.sources.files import REJECTED, parse_purchases
 
@@ -105,6 +107,12 @@ def _write_batch(rows: DataFrame, sink: LineSink, batch_id: int) -> None:
     )
 
 
+def _write_commit(rows: DataFrame, sink: LineSink, name: str) -> None:
+    parts = layout_columns(sink.layout)
+    rows = rows.withColumns(parts).hint("rebalance", *parts) if parts else rows
+    write_folder(rows, sink.path, name, list(parts), sink.max_records_per_file)
+
+
 def _write_rejects(rows: DataFrame, path: str, batch_id: int) -> None:
     (
         rows.withColumn(_BATCH, F.lit(batch_id))
@@ -126,6 +134,7 @@ def ingest_lines(
     min_fields: int = 3,
     purchases: bool = False,
     interval: str | None = None,
+    log: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest: each batch is read once and written to all sinks.
 
@@ -135,11 +144,23 @@ def ingest_lines(
     With an `interval` the query polls for new files for ever; without, it takes what is
     there in bounded batches and stops. A failed batch stops the query; starting it again
     with the same checkpoint resumes at that batch.
+
+    With a `log` each batch becomes visible in all sinks and in the rejects at once, to those who
+    read with `sinks.commits.read_committed`; the log belongs to this checkpoint, whose name it
+    knows its batches by.
     """
 
+    def commit_rows(batch: DataFrame, batch_id: int) -> None:
+        good, bad = batch.where(F.col("reason").isNull()), batch.where(F.col("reason").isNotNull())
+        writers = {sink.path: partial(_write_commit, good, sink) for sink in sinks}
+        writers[rejects] = lambda name: write_folder(bad, rejects, name, ["reason"])
+        commit_batch(batch.sparkSession, log, checkpoint, batch_id, writers)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if log is not None:
+                return commit_rows(batch, batch_id)
             good = batch.where(F.col("reason").isNull())
             for sink in sinks:
                 _write_batch(good, sink, batch_id)
