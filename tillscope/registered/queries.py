@@ -34,6 +34,7 @@ from tillscope.operators import (
     with_category_total,
 )
 from tillscope.operators.geojoin import block_index
+from tillscope.operators.geojoin6 import mixed_join
 from tillscope.operators.ranking import sort_desc
 from tillscope.plans import reports, views
 from tillscope.plans.incremental import KeptReports
@@ -279,6 +280,26 @@ def geo_join_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _geo_join(spark, sf_dir, match="longest")
 
 
+@_registered
+def geo_join_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spenders of both families: those with an even address come from IPv6 as well, where the
+    customers own blocks of /40 to /64 that nest by their length."""
+    spend = spend_by_ip(startables.purchases(spark, sf_dir))
+    six = F.format_string("2001:db8:%x:%x::%x", F.expr("shiftright(ip_long, 16)"), F.expr("ip_long & 65535"), F.expr("ip_long % 97"))
+    spenders = spend.select("ip", "sump").unionByName(
+        spend.where("ip_long % 2 = 0").select(six.alias("ip"), "sump")
+    )
+    owners = startables.table(spark, sf_dir, "customer").select(
+        F.expr(startables.spread("c_custkey")).alias("n"),
+        F.expr("CAST(40 + c_custkey % 25 AS INT)").alias("p"),
+        F.col("c_nationkey").cast("long").alias("geoname_id"),
+    )
+    text = F.format_string("2001:DB8:%x:%x::/%d", F.expr("shiftright(n, 16)"), F.expr("n & 65535"), "p")
+    blocks = startables.blocks(spark, sf_dir).select("network", "geoname_id")
+    blocks = blocks.unionByName(owners.select(text.alias("network"), "geoname_id"))
+    return mixed_join(spenders, blocks, match="longest").select("ip", "sump", "network", "geoname_id")
+
+
 # Reports
 
 

@@ -208,6 +208,22 @@ SELECT ip, sump, network, geoname_id
 FROM spend JOIN blocks ON ip_long > start_ip AND ip_long < end_ip""",
     "geo_join_longest": f"""{_with(_SALES, _SPEND, _BLOCKS)}
 SELECT ip, sump, network, geoname_id FROM ({_LONGEST})""",
+    "geo_join_mixed": f"""{_with(_SALES, _SPEND, _BLOCKS)},
+six AS (
+  SELECT format('2001:db8:{{:x}}:{{:x}}::{{:x}}', ip_long >> 16, ip_long & 65535, ip_long % 97) AS ip, sump, ip_long
+  FROM spend WHERE ip_long % 2 = 0
+),
+owned AS (
+  SELECT n, p, geoname_id, format('2001:DB8:{{:x}}:{{:x}}::/{{}}', n >> 16, n & 65535, p) AS network
+  FROM (SELECT {_spread('c_custkey')} AS n, CAST(40 + c_custkey % 25 AS INTEGER) AS p,
+               CAST(c_nationkey AS BIGINT) AS geoname_id FROM customer)
+)
+SELECT ip, sump, network, geoname_id FROM ({_LONGEST})
+UNION ALL
+SELECT ip, sump, network, geoname_id FROM (
+  SELECT ip, sump, network, geoname_id, p FROM six JOIN owned ON ip_long >> (64 - p) = n >> (64 - p)
+  QUALIFY row_number() OVER (PARTITION BY ip ORDER BY p DESC, network, geoname_id) = 1
+)""",
     "top_categories": f"""{_with(_SALES)}
 SELECT category, count(*) AS cnt FROM sales
 GROUP BY category ORDER BY cnt DESC, category NULLS FIRST LIMIT 10""",
