@@ -40,10 +40,18 @@ from tillscope.plans import reports, views
 from tillscope.plans.incremental import KeptReports
 from tillscope.session import scratch_path
 from tillscope.sinks import append_lines, write_all, write_csv
-from tillscope.sinks.commits import compact, read_committed
+from tillscope.sinks.commits import CommitLog, compact, read_committed, read_folders
 from tillscope.sinks.files import flags_as_ints, lines_of, write_purchases
 from tillscope.sources import catalog, files, schemas, startables, synthetic
-from tillscope.streaming import LineSink, follow_lines, ingest_lines, read_line_stream, read_sink
+from tillscope.streaming import (
+    LineSink,
+    follow_lines,
+    ingest_lines,
+    read_line_stream,
+    read_sink,
+    supervised_ingest,
+)
+from tillscope.streaming.supervise import UNREADABLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -736,6 +744,34 @@ def stream_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_registered
+def stream_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ingest among whose files are two that cannot be read: the lines of the others by day,
+    and for the two their names."""
+    scratch = scratch_path(spark, "stream-supervised")
+    lines = _arriving_lines(spark, sf_dir).select("value")
+    append_lines(lines, f"{scratch}/in", max_records_per_file=20_000)
+    # Lines of the table under a name that promises a compressed file.
+    append_lines(lines.limit(1_000), f"{scratch}/plain")
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    plain = store.globStatus(root.suffix("/plain/part-*"))[0].getPath()
+    for name in ("a", "b"):
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+            store, plain, store, root.suffix(f"/in/{name}.txt.gz"), False, spark._jsc.hadoopConfiguration()
+        )
+    sink, log = LineSink(f"{scratch}/product", "dt"), f"{scratch}/log"
+    supervised_ingest(
+        spark, f"{scratch}/in", [sink], checkpoint=f"{scratch}/checkpoint", rejects=f"{scratch}/rejects", log=log,
+        attempts=2, pause=0.1, date_index=2,
+    )
+    rejected = read_folders(spark, f"{scratch}/rejects", CommitLog(spark, log).state().live[f"{scratch}/rejects"], ["reason"])
+    aside = rejected.where(F.col("reason") == UNREADABLE).select(
+        F.regexp_extract("value", "([^/]*)\t", 1).alias("value"), F.col("reason").alias("dt")
+    )
+    return read_committed(spark, log, sink.path, "dt").unionByName(aside)
+
+
 @_registered
 def stream_kept_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three reports from aggregates that are brought up to date after each run of an ingest,

@@ -309,6 +309,9 @@ SELECT sink, CASE WHEN sink = 'raw' THEN 'all' ELSE dt END AS dt, count(*) AS li
        max(value) AS last_line
 FROM arrived, (VALUES ('product'), ('raw')) AS s(sink)
 WHERE reason IS NULL GROUP BY 1, 2""",
+    "stream_supervised": f"""{_with(_ARRIVED)}
+SELECT value, dt FROM arrived WHERE reason IS NULL
+UNION ALL SELECT name, 'unreadable_file' FROM (VALUES ('a.txt.gz'), ('b.txt.gz')) AS bad(name)""",
     "stream_kept_reports": f"""{_with(_ARRIVED)},
 good AS (
   SELECT split_part(value, ',', 1) AS name, category, split_part(value, ',', 5) AS ip,

@@ -156,6 +156,13 @@ def write_folder(rows: DataFrame, path: str, commit: str, parts: list[str], max_
     )
 
 
+def has_files(spark: SparkSession, path: str, commit: str) -> bool:
+    """Whether the folder of a commit holds any lines; without, it has no partitions to be read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{FOLDER}={commit}")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return any(s.getPath().getName()[0] not in "._" for s in found)
+
+
 def read_folders(spark: SparkSession, path: str, commits: list[str], parts: list[str]) -> DataFrame:
     """Lines of these commits: value, the partition columns, and `commit`."""
     kinds = ", ".join(["value STRING", f"{FOLDER} STRING", *[f"{p} STRING" for p in parts]])
@@ -251,4 +258,5 @@ def commit_batch(spark: SparkSession, log: str, writer: str, batch: int, sinks:
     name = commit_id(batch)
     for write in sinks.values():
         write(name)
-    return commits.commit({path: [name] for path in sinks}, writer=writer, batch=batch)
+    add = {path: [name] for path in sinks if has_files(spark, path, name)}
+    return commits.commit(add, writer=writer, batch=batch)

@@ -8,6 +8,7 @@ from tillscope.streaming.ingest import (
     read_line_stream,
     read_sink,
 )
+from tillscope.streaming.supervise import supervised_ingest
 
 __all__ = [
     "LineSink",
@@ -16,4 +17,5 @@ __all__ = [
     "ingest_lines",
     "read_line_stream",
     "read_sink",
+    "supervised_ingest",
 ]

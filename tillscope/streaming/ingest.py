@@ -8,7 +8,7 @@ line twice and none out, in any sink.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -92,6 +92,13 @@ def classify_purchases(lines: DataFrame) -> DataFrame:
     )
 
 
+def route(lines: DataFrame, *, date_index: int = INGEST_TIME, min_fields: int = 3, purchases: bool = False) -> DataFrame:
+    """Lines with their time and, if they are to be rejected, the reason."""
+    if purchases:
+        return classify_purchases(lines)
+    return classify_lines(lines, date_index=date_index, min_fields=min_fields)
+
+
 def _write_batch(rows: DataFrame, sink: LineSink, batch_id: int) -> None:
     parts = layout_columns(sink.layout)
     rows = rows.withColumns({**parts, _BATCH: F.lit(batch_id)}).select("value", *parts, _BATCH)
@@ -113,6 +120,14 @@ def _write_commit(rows: DataFrame, sink: LineSink, name: str) -> None:
     write_folder(rows, sink.path, name, list(parts), sink.max_records_per_file)
 
 
+def folder_writers(rows: DataFrame, sinks: Sequence[LineSink], rejects: str) -> dict[str, Callable[[str], None]]:
+    """By path what writes routed rows to the folder of a commit, for every sink and the rejects."""
+    good, bad = rows.where(F.col("reason").isNull()), rows.where(F.col("reason").isNotNull())
+    writers: dict[str, Callable[[str], None]] = {sink.path: partial(_write_commit, good, sink) for sink in sinks}
+    writers[rejects] = lambda name: write_folder(bad, rejects, name, ["reason"])
+    return writers
+
+
 def _write_rejects(rows: DataFrame, path: str, batch_id: int) -> None:
     (
         rows.withColumn(_BATCH, F.lit(batch_id))
@@ -150,17 +165,12 @@ def ingest_lines(
     knows its batches by.
     """
 
-    def commit_rows(batch: DataFrame, batch_id: int) -> None:
-        good, bad = batch.where(F.col("reason").isNull()), batch.where(F.col("reason").isNotNull())
-        writers = {sink.path: partial(_write_commit, good, sink) for sink in sinks}
-        writers[rejects] = lambda name: write_folder(bad, rejects, name, ["reason"])
-        commit_batch(batch.sparkSession, log, checkpoint, batch_id, writers)
-
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if log is not None:
-                return commit_rows(batch, batch_id)
+                commit_batch(batch.sparkSession, log, checkpoint, batch_id, folder_writers(batch, sinks, rejects))
+                return
             good = batch.where(F.col("reason").isNull())
             for sink in sinks:
                 _write_batch(good, sink, batch_id)
@@ -168,10 +178,7 @@ def ingest_lines(
         finally:
             batch.unpersist()
 
-    if purchases:
-        routed = classify_purchases(lines)
-    else:
-        routed = classify_lines(lines, date_index=date_index, min_fields=min_fields)
+    routed = route(lines, date_index=date_index, min_fields=min_fields, purchases=purchases)
     writer = routed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
