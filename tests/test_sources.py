@@ -101,6 +101,31 @@ def test_blocks(spark, tmp_path):
     assert rows["5.0.0.9/8"].start_ip == 5 << 24
 
 
+BAD_BLOCKS = ["6.0.0.0/8,abc,3,4,1,1", "7.0.0.0/8,1,2", "8.0.0.0/8,1,2,3,0,0,9", "9.0.0.0/8,1,2,3,x,0"]
+
+
+def test_bad_lines_of_reference_tables(spark, tmp_path):
+    good = ["5.0.0.0/8,,3,4,1,1", '"4.0.0.0/8",7,,,0,0', "no network,1,2,3,0,0"]
+    path = _write(tmp_path / "blocks.csv", [*good, *BAD_BLOCKS])
+    rows = files.read_blocks(spark, path).collect()
+    assert sorted(r.network for r in rows) == ["4.0.0.0/8", "5.0.0.0/8", "no network"]
+    kept = files.read_blocks(spark, path, keep_rejected=True)
+    assert sorted(r.rejected_line for r in kept.collect() if r.rejected_line) == sorted(BAD_BLOCKS)
+    # Whatever columns a query takes, the same lines are good.
+    assert kept.select("rejected_line").where("rejected_line IS NOT NULL").count() == 4
+    assert kept.where("rejected_line IS NULL").select("network").count() == 3
+    assert kept.where("rejected_line IS NOT NULL AND (network IS NOT NULL OR geoname_id IS NOT NULL)").count() == 0
+    assert files.read_blocks(spark, path).select("network").count() == 3
+    assert files.read_blocks(spark, path).count() == 3
+    with pytest.raises(PySparkException, match="7.0.0.0/8,1,2"):
+        files.read_blocks(spark, _write(tmp_path / "short.csv", [*good, BAD_BLOCKS[1]]), strict=True).select("network").collect()
+    assert files.read_blocks(spark, _write(tmp_path / "good.csv", good), strict=True).count() == 3
+    names = _write(tmp_path / "names.csv", ['1,en,AS,Asia,QA,"Quay, Old",0', "x1,en,AS,Asia,QB,Quay,0", "2,en,AS"])
+    kept = files.read_countries(spark, names, keep_rejected=True).collect()
+    assert [r.country_name for r in kept if r.rejected_line is None] == ["Quay, Old"]
+    assert sorted(r.rejected_line for r in kept if r.rejected_line) == ["2,en,AS", "x1,en,AS,Asia,QB,Quay,0"]
+
+
 def _dated(tmp_path):
     for day in ("2010-10-14", "2010-10-15", "2010-11-02"):
         _write(

@@ -72,8 +72,8 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
         files.read_purchases(
             spark, args.purchases, strict=not args.rejects, partitioned=args.partitioned
         ),
-        files.read_blocks(spark, args.blocks),
-        files.read_countries(spark, args.countries),
+        files.read_blocks(spark, args.blocks, strict=True),
+        files.read_countries(spark, args.countries, strict=True),
         k=args.k,
         pre_k=args.pre_k,
         bounds=args.bounds,

@@ -473,6 +473,27 @@ def _dated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_registered
+def reference_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block lines of all customers, some with an id that is none or with fields missing: the
+    good ones by id, and each bad one with its text."""
+    path = scratch_path(spark, "blocks-bad")
+    network = F.concat(long_to_ip("n"), F.lit("/16"))
+    owners = startables.table(spark, sf_dir, "customer").select(
+        F.expr(startables.spread("c_custkey")).alias("n"), F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("id")
+    )
+    line = (
+        F.when(F.expr("k % 53 = 5"), F.concat_ws(",", network, F.lit("abc"), "id", "id", F.lit("0"), F.lit("1")))
+        .when(F.expr("k % 59 = 7"), F.concat_ws(",", network, "id"))
+        .otherwise(F.concat_ws(",", network, "id", F.lit(""), "id", F.lit("0"), F.lit("1")))
+    )
+    append_lines(owners.select(line.alias("value")), path)
+    read = files.read_blocks(spark, path, keep_rejected=True)
+    return read.groupBy(F.col(files.REJECTED).alias("rejected"), "geoname_id", "is_satellite_provider").agg(
+        F.count(F.lit(1)).alias("lines"), F.min("start_ip").alias("first_ip")
+    )
+
+
 @_registered
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "purchases-dt")

@@ -271,6 +271,19 @@ SELECT network, geoname_id, geoname_id AS registered_country_geoname_id,
        geoname_id % 5 = 0 AS is_anonymous_proxy, p = 9 AS is_satellite_provider,
        p AS prefix_len, start_ip, end_ip
 FROM blocks""",
+    "reference_rejects": f"""WITH owned AS (
+  SELECT {_dotted(_spread('c_custkey'))} || '/16' AS network, {_spread('c_custkey')} // 65536 * 65536 AS first_ip,
+         c_custkey AS k, c_nationkey AS id FROM customer
+),
+lines AS (
+  SELECT CASE WHEN k % 53 = 5 THEN network || ',abc,' || id || ',' || id || ',0,1'
+              WHEN k % 59 = 7 THEN network || ',' || id END AS rejected, id, first_ip
+  FROM owned
+)
+SELECT rejected, CASE WHEN rejected IS NULL THEN CAST(id AS BIGINT) END AS geoname_id,
+       CASE WHEN rejected IS NULL THEN true END AS is_satellite_provider, count(*) AS lines,
+       CAST(min(CASE WHEN rejected IS NULL THEN first_ip END) AS BIGINT) AS first_ip
+FROM lines GROUP BY 1, 2, 3""",
     "partitioned_roundtrip": f"""{_with(_EVENT_LINES)}
 SELECT name, price, ts, category, ip, dt FROM event_lines""",
     "partition_pruning": f"""{_with(_EVENT_LINES)}

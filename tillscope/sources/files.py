@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,19 +95,17 @@ def read_purchases(
     return parse_purchases(lines, strict=strict, keep_rejected=keep_rejected)
 
 
-def _flags_from_ints(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """0/1 columns to booleans; the CSV reader itself only knows true/false."""
-    return df.select(
-        *[
-            F.col(f.name).cast("boolean").alias(f.name)
-            if isinstance(f.dataType, T.BooleanType)
-            else F.col(f.name)
-            for f in schema.fields
-        ]
-    )
+def _flag_columns(schema: T.StructType) -> list[Column]:
+    """0/1 columns as booleans; the CSV reader itself only knows true/false."""
+    return [
+        F.col(f.name).cast("boolean").alias(f.name) if isinstance(f.dataType, T.BooleanType) else F.col(f.name)
+        for f in schema.fields
+    ]
 
 
-def _read_quoted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read_quoted(
+    spark: SparkSession, path: str, schema: T.StructType, *, strict: bool, keep_rejected: bool
+) -> DataFrame:
     stored = T.StructType(
         [
             T.StructField(
@@ -117,24 +115,48 @@ def _read_quoted(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         ]
     )
     rows = (
-        spark.read.schema(stored)
+        spark.read.schema(stored.add(REJECTED, T.StringType()))
         .option("sep", ",")
         .option("quote", '"')
         .option("escape", "\\")
         .option("charToEscapeQuoteEscaping", "\\")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        # Which lines are good must not depend on the columns a query takes.
+        .option("columnPruning", False)
         .csv(path)
     )
-    return _flags_from_ints(rows, schema)
+    # Out of a generator, so that every column is read whichever of them a query takes.
+    whole = rows.select(F.inline(F.array(F.struct(*rows.columns))))
+    good = F.col(REJECTED).isNull()
+    if keep_rejected:
+        kept = [F.when(good, c).alias(n) for n, c in zip(schema.names, _flag_columns(schema))]
+        return whole.select(*kept, F.col(REJECTED))
+    if strict:
+        refused = F.raise_error(F.concat(F.lit(f"not {', '.join(schema.names)}: "), F.col(REJECTED)))
+        good = F.when(good, F.lit(True)).otherwise(refused.cast("boolean"))
+    return whole.where(good).select(*_flag_columns(schema))
 
 
-def read_countries(spark: SparkSession, path: str) -> DataFrame:
-    """Country names; quoted names may hold commas. An empty field is NULL."""
-    return _read_quoted(spark, path, schemas.COUNTRIES)
+def read_countries(
+    spark: SparkSession, path: str, *, strict: bool = False, keep_rejected: bool = False
+) -> DataFrame:
+    """Country names; quoted names may hold commas. An empty field is NULL.
 
+    A line with fewer or more fields, or with one that is not of its type, is left out. With
+    `keep_rejected` it is kept, with its text in `rejected_line` and no other value, and with
+    `strict` it fails the query.
+    """
+    return _read_quoted(spark, path, schemas.COUNTRIES, strict=strict, keep_rejected=keep_rejected)
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Address blocks with their first and last address; an empty id is NULL."""
-    return with_bounds(_read_quoted(spark, path, schemas.BLOCKS))
+
+def read_blocks(
+    spark: SparkSession, path: str, *, strict: bool = False, keep_rejected: bool = False
+) -> DataFrame:
+    """Address blocks with their first and last address; an empty id is NULL. Bad lines as in
+    `read_countries`; a network that is no block is not one, and matches nothing."""
+    rows = _read_quoted(spark, path, schemas.BLOCKS, strict=strict, keep_rejected=keep_rejected)
+    return with_bounds(rows)
 
 
 def with_bounds(blocks: DataFrame) -> DataFrame:
