@@ -1,8 +1,11 @@
 """The stages of the pipeline against plain versions of what they decide."""
 
 import hashlib
+from pathlib import Path
 
 import corpus_pipeline as pipeline
+import pytest
+from pyspark.sql import functions as F
 from test_passages import prose
 
 from tillscope.llm import quality
@@ -41,3 +44,33 @@ def test_copies_of_other_columns_survive(spark, sf_dir):
     for _, stage in pipeline.STAGES[1:-1]:
         docs = pipeline.saved(stage(spark, docs, sf_dir), "stage")
     assert sorted(tuple(r) for r in docs.collect()) == [rows[0], rows[2]]
+
+
+CLASHING = "_text _words _chars _classes _given _lang _m _quality _row _k _r _l _id _s _kept _passages _twice _key _hit k h quality".split()
+
+
+@pytest.mark.parametrize("stage", [s for _, s in pipeline.STAGES[:-1]], ids=[n for n, _ in pipeline.STAGES[:-1]])
+def test_columns_of_the_caller_keep_their_values(spark, sf_dir, stage):
+    """Names that the operators use themselves, in one table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    docs = docs.union(docs.limit(3)).withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in CLASHING})
+    out = stage(spark, pipeline.saved(docs, "clashing"), sf_dir)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert rows
+    for r in rows:
+        assert all(r[c] == f"{c} of {r.doc_id}" for c in CLASHING)
+
+
+def test_scratch_of_earlier_stages_goes(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for n, (name, stage) in enumerate(pipeline.STAGES):
+        before = set(pipeline._scratch)
+        stage(spark, docs, sf_dir).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        gone = before - set(pipeline._scratch)
+        assert gone == before and not any(Path(p).exists() for p in gone)
+        assert n == 4 or all(Path(p).exists() for p in pipeline._scratch)
+    # A stage whose documents are still to be read from scratch keeps it.
+    docs = pipeline.quality_rules(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    assert pipeline.simhash_near_dedup(spark, docs, sf_dir).count() > 0

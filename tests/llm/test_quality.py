@@ -69,3 +69,18 @@ def test_strange_texts_go_and_prose_stays(spark, sf_dir):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     good = [r for i, r in by_id.items() if labels.get(i) == 1 and not r.base_failed]
     assert good and sum(r.kept for r in good) >= 0.98 * len(good)
+
+
+def test_languages_without_a_reference_are_judged_by_the_base_rules(spark, sf_dir):
+    """Clean texts of other scripts, and of no language, beside the four that are known."""
+    rng = random.Random(6)
+
+    def text(first, last):
+        return " ".join("".join(chr(rng.randrange(first, last)) for _ in range(rng.randrange(2, 9))) for _ in range(150))
+
+    others = [(-i, text(*{"ru": (0x430, 0x450), "zh": (0x4E00, 0x9000), "el": (0x3B1, 0x3CA)}[lang]), lang) for i, lang in enumerate(["ru", "zh", "el"] * 10, 1)]
+    others += [(-99, text(0x430, 0x450), None), (-100, "слово " * 200, "ru")]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rows = quality.judged(docs.union(spark.createDataFrame(others, docs.schema)), ["doc_id"])
+    kept = {r.doc_id: r.kept for r in rows.select("doc_id", "_quality.kept").filter("doc_id < 0").collect()}
+    assert kept == {i: i != -100 for i, _, _ in others}

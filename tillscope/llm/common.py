@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +54,37 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{theirs}`").alias(own) for own, theirs in columns.items()])
 
 
+def unused(name: str, columns) -> str:
+    """The name, with as many underscores behind it as none of the columns has."""
+    while name in columns:
+        name += "_"
+    return name
+
+
+_listening: list[list[str]] = []
+
+
+@contextmanager
+def scratch_noted():
+    """A list of the folders that `saved` writes meanwhile, for who lets them go later."""
+    made: list[str] = []
+    _listening.append(made)
+    try:
+        yield made
+    finally:
+        _listening[:] = [x for x in _listening if x is not made]
+
+
+def let_go(spark, paths: list[str], readers: DataFrame) -> list[str]:
+    """Delete the folders of which `readers` reads none; those that are left."""
+    read = readers.inputFiles() if paths else []
+    left = [p for p in paths if any(f"/{p.rsplit('/', 1)[1]}/" in f for f in read)]
+    for path in set(paths) - set(left):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return left
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends here.
 
@@ -61,6 +93,8 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for made in _listening:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -148,4 +148,4 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = saved(hits(keyed(docs), items).select(F.col("k").alias("_hit")), "contaminated")
     found = sent_if_small(found, F.lit(32))
     key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
-    return docs.join(found, key == F.col("_hit"), "left_anti")
+    return docs.join(found, key == found["_hit"], "left_anti")

@@ -173,23 +173,16 @@ def divergence(counts: Column, reference: list[float]) -> Column:
     return let(total(counts), distance)
 
 
-def judged(docs: DataFrame, columns: list[str] | None = None, text_col="text", lang_col="lang") -> DataFrame:
-    """The rows, in the named columns (all of them by default), with a struct `_quality`: n_words,
-    word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance,
-    base_failed and kept.
-
-    A NULL or empty text has no words and fails the base rules. The language of the row decides
-    only which references there are; a document is compared with the nearest of them, so one of
-    no or of another language is judged like the rest. Without any reference (an empty table or
-    no known language) only the base rules decide. Repeated rows are judged alike.
-
-    Texts are read once: counts and histograms are written with the named columns.
-    """
-    columns = docs.columns if columns is None else columns
-    given = docs.withColumn("_lang", F.col(f"`{lang_col}`"))
-    rows = measures(given, text_col).select(*[f"`{c}`" for c in columns], "_lang", "_m")
-    rows = saved(rows, "quality")
-    known = references(rows, "_lang").values()
+def _judged(docs: DataFrame, columns: list[str], text_col="text", lang_col="lang") -> DataFrame:
+    """(_row, quality): the named columns as a struct, and the struct that `judged` adds."""
+    given = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"),
+        F.col(f"`{text_col}`").alias("_given"),
+        F.col(f"`{lang_col}`").alias("_lang"),
+    )
+    rows = saved(measures(given, "_given").select("_row", "_lang", "_m"), "quality")
+    found = references(rows, "_lang")
+    known = found.values()
     m = F.col("_m")
 
     def nearest(parts: list[Column]) -> Column:
@@ -205,10 +198,27 @@ def judged(docs: DataFrame, columns: list[str] | None = None, text_col="text", l
         (m.word_distance > MOST_BY_WORD) | (m.class_distance + m.word_distance > MOST_BY_BOTH)
     )
     strange = F.coalesce(by_class, F.lit(False)) | F.coalesce(by_word, F.lit(False))
-    quality = m.withField("base_failed", failed).withField("kept", ~failed & ~strange)
-    return rows.select(*[f"`{c}`" for c in columns], quality.alias("_quality"))
+    # References say nothing about a text of another language.
+    strange = strange & F.coalesce(F.col("_lang").isin(list(found)), F.lit(False))
+    return rows.select("_row", m.withField("base_failed", failed).withField("kept", ~failed & ~strange).alias("quality"))
+
+
+def judged(docs: DataFrame, columns: list[str] | None = None, text_col="text", lang_col="lang") -> DataFrame:
+    """The rows, in the named columns (all of them by default), with a struct `_quality`: n_words,
+    word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance,
+    base_failed and kept.
+
+    A NULL or empty text has no words and fails the base rules. A document is compared with the
+    nearest reference of any language. For one whose own language is NULL or has no reference, only
+    the base rules decide; so they do without any reference (an empty table or no known
+    language). Repeated rows are judged alike.
+
+    Texts are read once: counts and histograms are written with the named columns.
+    """
+    columns = docs.columns if columns is None else columns
+    return _judged(docs, columns, text_col, lang_col).select("_row.*", F.col("quality").alias("_quality"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return judged(docs).filter("_quality.kept").drop("_quality")
+    return _judged(docs, docs.columns).filter("quality.kept").select("_row.*")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillscope.llm.common import only, saved, sent_if_small
+from tillscope.llm.common import only, saved, sent_if_small, unused
 from tillscope.llm.components import connected
 
 SEGMENTS = ((0, 22), (22, 43), (43, 64))
@@ -165,13 +165,14 @@ def one_of_each(docs: DataFrame, words: int = 3, id_col="doc_id", text_col="text
     kept = saved(kept.select(F.struct("m.doc_id", "m.h").alias("_kept")), "kept")
     kept = sent_if_small(kept, F.lit(16))
     key = F.struct(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(f"`{text_col}`").alias("h"))
-    stay = docs.join(kept, key == F.col("_kept"), "left_semi")
+    stay = docs.join(kept, key == kept["_kept"], "left_semi")
     twice = rows.groupBy("doc_id", "h").count().filter("count > 1")
     if not twice.take(1):
         return stay
     # Some rows repeat an id with its text: of these, one each. Copies meet in the tasks first.
     twice = saved(twice.select(F.struct("doc_id", "h").alias("_twice")), "twice")
     twice = sent_if_small(twice, F.lit(16))
-    alone = stay.join(twice, key == F.col("_twice"), "left_anti")
-    again = stay.join(twice, key == F.col("_twice"), "left_semi").withColumn("_key", key)
-    return alone.union(again.dropDuplicates(["_key"]).drop("_key"))
+    alone = stay.join(twice, key == twice["_twice"], "left_anti")
+    name = unused("_key", docs.columns)
+    again = stay.join(twice, key == twice["_twice"], "left_semi").withColumn(name, key)
+    return alone.union(again.dropDuplicates([name]).drop(name))

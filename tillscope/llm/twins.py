@@ -157,17 +157,18 @@ nearest AS (
   SELECT r, min(d) FILTER (kind = 'c') AS class_distance, min(d) FILTER (kind = 'w') AS word_distance FROM distances GROUP BY r
 ),
 measured AS (
-  SELECT doc_id, n_words, word_chars, known[{len(q.CLASSES)}] AS n_symbols, n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+  SELECT doc_id, lang, n_words, word_chars, known[{len(q.CLASSES)}] AS n_symbols, n_dup_lines, coalesce(n, 0) AS n_repeat_words,
     class_distance, word_distance,
     n_words < {q.LEAST_WORDS} OR 100 * coalesce(n, 0) > {q.MOST_REPEATED} * n_words AS base_failed
   FROM counted LEFT JOIN repeated USING (r) LEFT JOIN nearest USING (r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance, base_failed,
-  NOT base_failed
-    AND NOT coalesce(n_words >= {q.LEAST_FOR_CLASSES} AND class_distance > {q.MOST_BY_CLASS}, false)
-    AND NOT coalesce(n_words >= {q.LEAST_FOR_WORDS} AND (word_distance > {q.MOST_BY_WORD}
-      OR class_distance + word_distance > {q.MOST_BY_BOTH}), false) AS kept
+  NOT base_failed AND NOT (
+    coalesce(lang IN (SELECT lang FROM refs), false) AND (
+      coalesce(n_words >= {q.LEAST_FOR_CLASSES} AND class_distance > {q.MOST_BY_CLASS}, false)
+      OR coalesce(n_words >= {q.LEAST_FOR_WORDS} AND (word_distance > {q.MOST_BY_WORD}
+        OR class_distance + word_distance > {q.MOST_BY_BOTH}), false))) AS kept
 FROM measured
 """
 
