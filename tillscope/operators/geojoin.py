@@ -93,7 +93,7 @@ class BlockIndex:
     def segments(self, bounds: str) -> DataFrame:
         """By join key the disjoint segments, with the least row of their most specific block:
         _key, lo, hi, row."""
-        blocks = self.ranges.filter("_first IS NOT NULL").groupBy("_len", "_first", "_last")
+        blocks = self.ranges.groupBy("_len", "_first", "_last")
         blocks = blocks.agg(F.min(F.struct(*self.columns)).alias("row"))
         return sweep(blocks, bounds)
 
