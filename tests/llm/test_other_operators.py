@@ -163,3 +163,31 @@ def test_pages_equal_their_articles(spark, sf_dir):
         article = re.search(r"<article>(.*?)(</article>|\Z)", source[r.page_id, r.url], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert r.text == "\n".join(b for b in blocks if b)
+
+
+def test_frames_of_an_article_are_kept():
+    words = " ".join(f"word{i}" for i in range(80))
+    page = "<html><body>{}<h1>A title</h1><p>%s</p>{}<footer>foot</footer></body></html>" % words
+    frames = [f'<div class="{c}">' for c in (
+        "has-sidebar", "layout-sidebar-right", "no-header", "page with-comments", "content share-enabled", "search-results", "login sidebar")]
+    for frame in [*frames, '<div id="search">', '<form id="form">']:
+        inner = "<article>" if "search" in frame or "form" in frame or "login" in frame else ""
+        for article in {inner, "<article>", "<main>"}:
+            html = page.format(frame + article, article.replace("<", "</") + frame.split()[0].replace("<", "</") + ">")
+            assert htmltext.main_text(html, {}) == "A title\n" + words, html
+
+
+def test_parts_of_an_article_are_dropped():
+    words = " ".join(f"word{i}" for i in range(80))
+    head = f'<p class="article-header">{words}</p><p>{words}</p>'
+    parts = [
+        '<div class="cookie-notice">said</div>', '<div class="post-comments"><p>said</p></div>', '<p class="ad">said</p>',
+        '<section id="comments"><article class="comment"><p>said</p></article></section>', '<div role="navigation">said</div>',
+        '<div class="related-posts"><article class="related">said</article></div>', '<aside><article>said</article></aside>',
+    ]
+    for part in parts:
+        html = f"<body><article>{head}{part}</article>{part}</body>"
+        assert htmltext.main_text(html, {}) == f"{words}\n{words}", part
+    # Comments that are longer than the article are comments still.
+    assert htmltext.main_text(f'<div><p>{words}</p></div><div id="comments">{words} {words}</div>', {}) == words
+    assert htmltext.main_text(f"<x-frame><made-up>{words}</made-up></x-frame>", {"": 1.0, htmltext.OTHER: -0.1}) == words

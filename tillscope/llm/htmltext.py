@@ -5,7 +5,7 @@ tokens with the largest sum is the content. The scores are log ratios of how oft
 token occurs inside and outside of the content in labelled pages; pages that mark their article
 label themselves. What is never content, wherever it stands, is taken out first: scripts and
 the like, and the parts of a page that their element or their class names as a menu, header,
-footer, sidebar, notice, advert, form or reader comments.
+footer, sidebar, notice, advert, form or reader comments; never what holds the whole article.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +32,15 @@ RAW = frozenset("script style textarea title noscript iframe template".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark
  q rp rt ruby s samp small span strike strong sub sup time tt u var wbr""".split())
+#: Elements that hold text or lay it out. All others are one kind, so kinds are bounded.
+BLOCKS = frozenset("""html body div section p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd table caption colgroup thead
+ tbody tfoot tr td th blockquote pre figure figcaption picture audio video address details summary center""".split())
+KNOWN = CONTENT | DROPPED | VOID | INLINE | BLOCKS
+OTHER = "other"
+#: Elements that are a block of text each: a compound name such as "article-header" only dresses them.
+TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li td".split())
+#: Beginnings of names that say what a layout has or lacks, and not what the element is.
+HAVING = frozenset("has have no not with without is hide show".split())
 #: Words of a class, id or role that name such parts.
 PART_NAMES = frozenset("""ad ads advert adverts advertisement advertisements adsense sponsored sponsor promo promotion
  banner menu nav navbar navigation breadcrumb breadcrumbs header footer sidebar aside cookie cookies consent gdpr
@@ -79,22 +89,55 @@ def ends(stream: list[tuple[str, str, str]]) -> dict[int, int]:
     return found
 
 
-def names_a_part(name: str, rest: str) -> bool:
-    if name in DROPPED:
-        return True
-    if not rest or name in CONTENT or name in ("html", "body"):
-        return False
-    words = (w for m in NAMES.finditer(rest) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
-    return any(w in PART_NAMES for w in words)
+def named(name: str, rest: str) -> str:
+    """What class, id and role say of an element: "part" if one of them, as a whole or in all its
+    words, names a menu and the like, "maybe" if its first or last word does, else "".
+
+    "has-sidebar" says what a layout has, and a paragraph is no part for a compound name.
+    """
+    said = ""
+    for found in NAMES.finditer(rest):
+        for one in (found[1] or found[2] or found[3] or "").lower().split():
+            words = [w for w in re.split(r"[^a-z]+", one) if w]
+            if words and all(w in PART_NAMES for w in words):
+                return "part"
+            if words and words[0] not in HAVING and name not in TEXTS and {words[0], words[-1]} & PART_NAMES:
+                said = "maybe"
+    return said
 
 
 def without_parts(stream: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
     """The stream without menus and the like. One that is never closed ends with its opening tag,
-    but for raw elements, whose contents are not in the stream."""
-    out, closing, i = [], ends(stream), 0
+    but for raw elements, whose contents are not in the stream.
+
+    What holds all articles of a page is no part of it but its frame, whatever its name; where a
+    name is not clear, neither is what holds more than half of the words.
+    """
+    closing = ends(stream)
+    says = [named(name, rest) if kind == "open" and rest and name not in ("html", "body") else "" for kind, name, rest in stream]
+    articles = [i for i, (kind, name, _) in enumerate(stream) if kind == "open" and name in CONTENT and says[i] != "part"]
+    before: list[int] = []
+
+    def frame(i: int) -> bool:
+        return bool(articles) and i <= articles[0] and articles[-1] < closing.get(i, i)
+
+    def most(i: int) -> bool:
+        if not before:
+            sizes = (len(text_words(text)) if kind == "text" else 0 for kind, _, text in stream)
+            before.extend(accumulate(sizes, initial=0))
+        return 2 * (before[closing.get(i, i)] - before[i]) > before[-1]
+
+    def is_part(i: int, name: str) -> bool:
+        if name in RAW:
+            return True
+        if name in DROPPED or says[i] == "part":
+            return not frame(i)
+        return says[i] == "maybe" and name not in CONTENT and not frame(i) and not most(i)
+
+    out, i = [], 0
     while i < len(stream):
         kind, name, rest = stream[i]
-        if kind == "open" and name not in VOID and names_a_part(name, rest):
+        if kind == "open" and name not in VOID and is_part(i, name):
             i = closing.get(i, i)
         elif kind == "text" or name not in DROPPED:
             out.append(stream[i])
@@ -120,7 +163,7 @@ def counted(page: str) -> Counter:
         if kind == "text":
             counts["", inside] += len(text_words(text))
         elif i not in (start, end):
-            counts[name if len(name) <= 12 else "other", inside] += 1
+            counts[name if name in KNOWN else OTHER, inside] += 1
     return counts
 
 
@@ -159,9 +202,8 @@ def learned(pages: DataFrame, html_col="html") -> dict[str, float]:
         )
 
     sums = drawn.mapInArrow(run, "kind STRING, inside BOOLEAN, n BIGINT").groupBy("kind", "inside").agg(F.sum("n").alias("n"))
-    # Bounded: the most frequent element names.
-    rows = sums.orderBy(F.desc("n"), "kind", "inside").limit(400).collect()
-    return scores({(r["kind"], r["inside"]): r["n"] for r in rows})
+    # Bounded: the elements of KNOWN, OTHER and words, inside and outside.
+    return scores({(r["kind"], r["inside"]): r["n"] for r in sums.collect()})
 
 
 def main_text(page: str, weight: dict[str, float]) -> str:
@@ -176,7 +218,7 @@ def main_text(page: str, weight: dict[str, float]) -> str:
         if kind == "text":
             total += word * len(words[-1])
         elif name not in CONTENT:
-            total += weight.get(name, LINK if not weight and name in ("a", "li") else TAG)
+            total += weight.get(name if name in KNOWN else OTHER, LINK if not weight and name in ("a", "li") else TAG)
         if total > best:
             best, first, last = total, start, i + 1
         if total <= 0:
