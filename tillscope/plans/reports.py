@@ -21,8 +21,10 @@ from tillscope.operators import (
     count_by,
     top_k,
     top_k_per_group,
+    top_sums,
 )
 from tillscope.operators.aggregates import exact_by_ip
+from tillscope.operators.pruning import BUCKETS
 
 
 def rank_categories(counts: DataFrame, k: int | None = 10) -> DataFrame:
@@ -65,6 +67,15 @@ def top_ips(purchases: DataFrame, k: int | None = 10) -> DataFrame:
     return rank_ips(exact_by_ip(purchases), k)
 
 
+def top_ips_pruned(purchases: DataFrame, k: int = 10, buckets: int = BUCKETS) -> DataFrame:
+    """`top_ips` in which addresses out of reach of the first k are not shuffled.
+
+    For many addresses of which few spend much; the purchases are read three times.
+    """
+    spent = top_sums(purchases, "ip", exact_money("price"), k=k, name="spent", buckets=buckets)
+    return rank_ips(spent, k)
+
+
 def geo_blocks(blocks: DataFrame) -> BlockIndex:
     """Index over just the block columns that the reports use."""
     return block_index(blocks.select("network", "geoname_id"))

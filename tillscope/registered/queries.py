@@ -341,6 +341,11 @@ def top_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_ips(startables.purchases(spark, sf_dir))
 
 
+@_registered
+def top_ips_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_ips_pruned(startables.purchases(spark, sf_dir))
+
+
 @_registered
 def top_ip_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_ip_countries(

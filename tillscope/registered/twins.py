@@ -243,6 +243,8 @@ FROM (SELECT category, name, count(*) AS cnt,
       FROM sales WHERE category IS NOT NULL GROUP BY category, name)
 WHERE rank <= 10""",
     "top_ips": f"""{_with(_SALES, _SPEND)}
+SELECT ip, sump FROM spend ORDER BY sump DESC, ip LIMIT 10""",
+    "top_ips_pruned": f"""{_with(_SALES, _SPEND)}
 SELECT ip, sump FROM spend ORDER BY sump DESC, ip LIMIT 10""",
     "top_ip_countries": _top_ip_countries(100, ">=", "<="),
     "top_ip_countries_k10": _top_ip_countries(10, ">", "<"),
