@@ -105,6 +105,35 @@ def test_grammar():
     assert score("She said: grobian.") < score("She is a grobian.")
     assert score("I will kill you") > score("They kill time") == score("A calm day.")
     assert score("agrobian idiotic") == score("A calm day.")
+    for harmless in ("The idiot box is on.", "An idiot", "He said you are an idiot.", "You are not an idiot.",
+                     "This trash will be collected.", "We will beat the eggs."):
+        assert score(harmless) < toxicity.TOXIC, harmless
+    assert score("You are an idiot.") >= toxicity.TOXIC
+    assert score("idiot, moron, scum, trash") >= toxicity.TOXIC
+
+
+def test_composed_transducers_equal_the_rules_read_by_distance():
+    """Each match of random clauses against a reading that measures the way to every other word."""
+    grammar = toxicity.Grammar(-2.0, {"grobi": 4.0})
+    rng = random.Random(4)
+    words = ["grobian", "idiots", "kill", "you", "not", "said", "will", "calm", "day", "house"]
+
+    def plain(clause):
+        near = lambda i, kind, before, after=0: any(
+            w in kind and -before <= k - i <= after and k != i for k, w in enumerate(clause))
+        total = 0.0
+        for i, word in enumerate(clause):
+            weight = {"grobian": 4.0, "idiots": 3.5, "kill": 3.0}.get(word, 0.0)
+            if word == "kill" and not near(i, toxicity.FUTURE, 3):
+                weight = 0.0
+            weight *= toxicity.NEGATED if near(i, toxicity.NEGATIONS, 2) else 1.0
+            weight *= toxicity.REPORTED if near(i, toxicity.SPEECH, 6) else 1.0
+            total += weight * (toxicity.AIMED if near(i, toxicity.TARGETS, 3, 3) else toxicity.UNAIMED)
+        return total
+
+    for _ in range(2000):
+        clause = rng.choices(words, k=rng.randrange(12))
+        assert abs(grammar.clause(clause) - plain(clause)) < 1e-9, clause
 
 
 def test_toxicity_on_held_out_rows(spark, sf_dir):

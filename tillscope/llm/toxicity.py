@@ -1,10 +1,11 @@
-"""Toxicity by a grammar of finite-state patterns over clauses.
-
-A lexicon of insult stems is learned from labelled documents. The words of a clause become
-classes (insult, threat, target, negation, reported speech, future), and a transducer reads them
-in order: an insult or a threat opens a match with a weight, a target beside it strengthens it, a
-negation just before it or a verb of speech earlier in the clause weakens it. Weights are log
-odds; those of all clauses add up to the score.
+"""Toxicity by a grammar of weighted finite-state transducers over clauses.
+
+A lexicon of insult stems is learned from labelled documents; it turns the words of a clause into
+kinds (insult, threat, target, negation, report, future) and gives each match its log odds. Behind
+it, transducers read the kinds: a negation shortly before a match weakens it, a report earlier in the
+clause does, a threat needs a future verb, and only a match with a target near it counts in
+full. Those that look to the left are composed into one machine; the target's reads
+the clause in both directions. What all clauses add to the prior is the score.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from tillscope.llm.common import alnum_words, only, saved
 #: Word classes of the grammar, in the languages of the corpus.
 THREATS = frozenset("kill murder stab shoot strangle beat hurt destroy burn töten umbringen schlagen tuer frapper matar golpear".split())
 FUTURE = frozenset("will gonna shall must should werde wird vais va voy".split())
-TARGETS = frozenset("you your yours he she they them these those this that him her people du dich ihr sie tu toi vous ils usted ustedes tú ellos".split())
+TARGETS = frozenset("you your yours he she they them him her people du dich ihr sie tu toi vous ils usted ustedes tú ellos".split())
 NEGATIONS = frozenset("not never isn't aren't wasn't don't nicht kein keine niemals jamais nunca".split())
 SPEECH = frozenset("said says wrote writes called calls quoted quotes claimed claims sagte schrieb nannte disait écrivait appelé dijo escribió llamó".split())
 
@@ -38,8 +39,11 @@ SAMPLE = 12_000
 #: Lengths of stems, and what one needs: different toxic documents, log odds, and a likelihood
 #: ratio that chance among some thousands of stems hardly explains.
 STEM, LEAST_DOCS, LEAST_ODDS, LEAST_RATIO = range(3, 9), 3, 1.5, 18.0
-#: Log odds of a threat and of a text without a lexicon, and the factors of the transducer.
-THREAT, PRIOR, AIMED, UNAIMED, NEGATED, REPORTED = 3.0, -2.0, 1.0, 0.95, 0.4, 0.6
+#: Log odds of a threat and of a text without a lexicon, and the factors of the transducers.
+#: With UNAIMED one insult without a target stays below TOXIC; more of them can pass it.
+THREAT_ODDS, PRIOR, AIMED, UNAIMED, NEGATED, REPORTED = 3.0, -2.0, 1.0, 0.35, 0.2, 0.3
+#: Kinds of words, the alphabet of the transducers.
+KINDS = OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, AHEAD = range(7)
 TOXIC = 0.7
 
 CLAUSE = re.compile(r"[.!?;\n]+")
@@ -114,8 +118,56 @@ def lexicon(docs: DataFrame, labels: DataFrame) -> tuple[float, dict[str, float]
     return math.log(toxic / clean), dict(sorted(found.items()))
 
 
+class Transducer:
+    """A weighted finite-state transducer over kinds of words.
+
+    `step[state][kind]` is the next state and `weight[state][kind]` the factor that a match of
+    that kind gets; state 0 is the start.
+    """
+
+    def __init__(self, step: list[list[int]], weight: list[list[float]]):
+        self.step, self.weight = step, weight
+
+    def read(self, kinds: list[int]) -> list[float]:
+        state, out = 0, []
+        for kind in kinds:
+            out.append(self.weight[state][kind])
+            state = self.step[state][kind]
+        return out
+
+
+def within(opener: int, reach: int, inside: float, outside: float, matches: tuple[int, ...]) -> Transducer:
+    """Matches at most `reach` words behind an opener get the factor `inside`, others `outside`."""
+    step = [[reach if kind == opener else max(left - 1, 0) for kind in KINDS] for left in range(reach + 1)]
+    weight = [[(inside if left else outside) if kind in matches else 1.0 for kind in KINDS] for left in range(reach + 1)]
+    return Transducer(step, weight)
+
+
+def composed(machines: list[Transducer]) -> Transducer:
+    """One transducer that reads as all of them do at once: its states are the combinations that
+    can be reached, its weights the products."""
+    start = (0,) * len(machines)
+    number, queue, step, weight = {start: 0}, [start], [], []
+    for states in queue:
+        step.append([])
+        weight.append([])
+        for kind in KINDS:
+            ahead = tuple(m.step[q][kind] for m, q in zip(machines, states))
+            if ahead not in number:
+                number[ahead] = len(number)
+                queue.append(ahead)
+            step[-1].append(number[ahead])
+            weight[-1].append(math.prod(m.weight[q][kind] for m, q in zip(machines, states)))
+    return Transducer(step, weight)
+
+
 class Grammar:
-    """The composed patterns for one lexicon."""
+    """The patterns for one lexicon: lexicon, then contexts, then targets on either side.
+
+    The contexts to the left of a match (negation, report, future) are one composed transducer.
+    A target may stand on either side, so its transducer reads the clause in both directions and the
+    better of the two weights counts.
+    """
 
     def __init__(self, prior: float, stems: dict[str, float]):
         self.prior, self.weight = prior, stems
@@ -123,32 +175,35 @@ class Grammar:
         begun = "".join("|" + re.escape(s) for s in sorted(stems))
         self.opens = re.compile(rf"\b(?:(?:{whole})s?\b{begun})")
         self.lengths = sorted({len(s) for s in stems})
+        classes = [(NEGATION, NEGATIONS), (REPORT, SPEECH), (AHEAD, FUTURE), (TARGET, TARGETS)]
+        self.kinds = {word: kind for kind, words in classes for word in words}
+        both = (INSULT, THREAT)
+        self.left = composed([
+            within(NEGATION, 2, NEGATED, 1.0, both),
+            within(REPORT, 6, REPORTED, 1.0, both),
+            within(AHEAD, 3, 1.0, 0.0, (THREAT,)),
+        ])
+        self.aim = within(TARGET, 3, AIMED, UNAIMED, both)
 
     def insult(self, word: str) -> float:
         learned = max((self.weight.get(word[:k], 0.0) for k in self.lengths), default=0.0)
         return max(learned, INSULTS.get(word, 0.0), INSULTS.get(word.removesuffix("s"), 0.0))
 
+    def lexical(self, word: str) -> tuple[int, float]:
+        """The kind of a word, and the weight of a match that it opens."""
+        if word in self.kinds:
+            return self.kinds[word], 0.0
+        weight = self.insult(word)
+        if weight:
+            return INSULT, weight
+        return (THREAT, THREAT_ODDS) if word in THREATS else (OTHER, 0.0)
+
     def clause(self, words: list[str]) -> float:
-        """Log odds that a clause adds, from one reading of its words."""
-        negated = spoken = aimed = future = -99
-        total = 0.0
-        for i, word in enumerate(words):
-            if word in NEGATIONS:
-                negated = i
-            elif word in SPEECH:
-                spoken = i
-            elif word in FUTURE:
-                future = i
-            if word in TARGETS:
-                aimed = i
-            weight = self.insult(word)
-            if not weight and word in THREATS and (i - future <= 3):
-                weight = THREAT
-            if weight:
-                factor = (NEGATED if i - negated <= 2 else 1.0) * (REPORTED if i - spoken <= 4 else 1.0)
-                near = i - aimed <= 3 or any(w in TARGETS for w in words[i + 1 : i + 4])
-                total += weight * factor * (AIMED if near else UNAIMED)
-        return total
+        """Log odds that a clause adds: the weights of its matches through all transducers."""
+        read = [self.lexical(word) for word in words]
+        kinds = [kind for kind, _ in read]
+        aim = map(max, self.aim.read(kinds), reversed(self.aim.read(kinds[::-1])))
+        return sum(w * f * a for (_, w), f, a in zip(read, self.left.read(kinds), aim) if w)
 
     def score(self, text: str) -> float:
         """0 to 1. Only clauses in which a stem or a threat begins a word are read word by word."""
@@ -160,7 +215,7 @@ class Grammar:
             done = ahead.start() if ahead else len(lowered)
             begin = max(lowered.rfind(c, 0, found.start()) for c in ".!?;\n") + 1
             total += self.clause(WORD.findall(lowered, begin, done))
-        return 1 / (1 + math.exp(-min(total, 30.0)))
+        return 1 / (1 + math.exp(-max(min(total, 30.0), -30.0)))
 
 
 def scored(docs: DataFrame, prior: float, stems: dict[str, float], id_col="doc_id", text_col="text") -> DataFrame:
