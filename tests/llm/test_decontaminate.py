@@ -61,3 +61,61 @@ def test_empty_tables(spark):
     b = spark.createDataFrame(items, "item_id BIGINT, text STRING")
     assert decontaminate.contamination(d.limit(0), b).count() == 0
     assert not [r for r in decontaminate.contamination(d, b.limit(0)).collect() if r.contaminated]
+
+
+def plain_proximity(docs, items):
+    """For each document and item: near windows, their first place and the largest share."""
+    has = {(i, t): words(t) for i, t in docs}
+    cf = {}
+    for w in map(words, (t for _, t in docs)):
+        for x in w:
+            cf[x] = cf.get(x, 0) + 1
+    out = {}
+    for item, itext in {(i, tuple(words(t))) for i, t in items}:
+        for s in range(len(itext) - 9):
+            window = itext[s : s + 10]
+            ranked = sorted((cf[w], p) for p, w in enumerate(window) if w in cf)
+            if not ranked:
+                continue
+            a, b = ranked[0][1], ranked[min(1, len(ranked) - 1)][1]
+            for key, h in has.items():
+                ends = [q - b for q, w in enumerate(h) if w == window[b]]
+                for at in (q - a for q, w in enumerate(h) if w == window[a]):
+                    if not any(abs(at - e) <= 3 for e in ends):
+                        continue
+                    kept = set(h[max(at - 3, 0) : max(at + 13, 0)]) & set(window)
+                    most = len(kept) / len(set(window))
+                    if most >= 0.8 - 1e-9:
+                        o = out.setdefault((*key, item), [set(), [], []])
+                        o[0].add((itext, s)), o[1].append(max(at, 0)), o[2].append(most)
+    return sorted(((k[0], k[2], len(n), min(f), round(max(m), 9)) for k, (n, f, m) in out.items()), key=repr)
+
+
+def test_proximity_equals_brute_force_and_finds_paraphrases(spark, monkeypatch):
+    docs, items = case()
+    rng = random.Random(12)
+    edited = []
+    for i, text in items[:8]:
+        w = text.split()
+        edited.append((100 + i, " ".join(x + (" inserted" if k % 7 == 3 else "") for k, x in enumerate(w))))
+        edited.append((200 + i, " ".join("other" if k % 7 == 3 else x for k, x in enumerate(w))))
+        edited.append((300 + i, " ".join(rng.sample(w, len(w)))))
+    docs = docs + edited
+    d = spark.createDataFrame([(*r, 1) for r in docs], "doc_id BIGINT, text STRING, shift INT")
+    b = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+
+    def results():
+        rows = decontaminate.proximity(d, b).collect()
+        return sorted(((r.doc_id, r.item_id, r.n_windows, r.first_word, round(r.most, 9)) for r in rows), key=repr)
+
+    got = results()
+    assert got == plain_proximity(docs, items)
+    pairs = {(i, item) for i, item, *_ in got}
+    # One word in seven put in or replaced; a short item with two in each window is below the share.
+    assert sum((base + i, i) in pairs for base in (100, 200) for i in range(8)) >= 15
+    # No ten words in a row are left, so the exact search finds none of these.
+    exact = {r.doc_id for r in decontaminate.contamination(d, b).collect() if r.contaminated}
+    assert not exact & {base + i for base in (100, 200) for i in range(8)}
+    assert decontaminate.proximity(d.limit(0), b).count() == decontaminate.proximity(d, b.limit(0)).count() == 0
+    monkeypatch.setattr(decontaminate, "sent_if_small", lambda df, size: df)
+    assert results() == got

@@ -4,7 +4,8 @@ The index holds postings (document, position) of the test terms that are needed:
 window of a benchmark item its two terms that are rarest in the corpus. A posting of the term
 at place p of an item, found at position q, proposes the alignment q - p of that item in that
 document; a window is a candidate where both of its terms propose the same alignment. The other
-words of a candidate are then compared with the document.
+words of a candidate are then compared with the document. `proximity` lets the two alignments differ
+and some words be others, so that passages with words put in or replaced are found.
 """
 
 from __future__ import annotations
@@ -12,10 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import alnum_words, only, saved, sent_if_small
+from tillscope.llm.common import alnum_words, let, only, saved, sent_if_small
 
 #: Words of a window; a shorter item is one window.
 WINDOW = 10
+#: In a proximity match, how far the alignments of the two rare terms may be apart, and the least share
+#: of the window's different words that lie in its place, widened by as many words on both sides.
+SLACK, SHARE = 3, 0.8
+
 
 def keyed(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """(k, text): k tells rows apart by id and text, so two texts of one id stay two documents.
@@ -43,10 +48,11 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return words.join(small, "term").groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
 
 
-def rare_pairs(items: DataFrame, counts: DataFrame) -> DataFrame:
+def rare_pairs(items: DataFrame, counts: DataFrame, lacking: bool = False) -> DataFrame:
     """(item, s, a, b): windows of an item by start, and the places of their two rarest terms.
 
-    A window with a term that no document has is left out. A window of one word has a = b.
+    A window with a term that no document has is left out; with `lacking`, only that term is. A
+    window of one word has a = b.
     """
     places = items.select("item", "n", "long", F.posexplode("words").alias("p", "term"))
     ranked = (
@@ -58,7 +64,9 @@ def rare_pairs(items: DataFrame, counts: DataFrame) -> DataFrame:
     by_count = F.sort_array(
         F.transform(F.slice("t", F.col("s") + 1, F.col("long")), lambda x: F.struct(x["cf"], x["p"]))
     )
-    rows = ranked.select("item", "s", by_count.alias("c")).filter(F.col("c")[0]["cf"] > 0)
+    if lacking:
+        by_count = F.filter(by_count, lambda x: x["cf"] > 0)
+    rows = ranked.select("item", "s", by_count.alias("c")).filter((F.size("c") > 0) & (F.get("c", F.lit(0))["cf"] > 0))
     return rows.select(
         "item", "s", F.col("c")[0]["p"].alias("a"), F.coalesce(F.get("c", F.lit(1))["p"], F.col("c")[0]["p"]).alias("b")
     )
@@ -149,3 +157,57 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = sent_if_small(found, F.lit(32))
     key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
     return docs.join(found, key == found["_hit"], "left_anti")
+
+
+def proximity(docs: DataFrame, items: DataFrame, slack: int = SLACK, share: float = SHARE) -> DataFrame:
+    """(doc_id, item_id, n_windows, first_word, most): documents near a benchmark item.
+
+    A window of WINDOW words is near a document at an alignment of the rarer of its two rarest terms (of
+    those that documents have; of equals the first) if the other one has an alignment at most `slack` away, and at least `share` of
+    the window's different words lie in the words that the window covers there, or at most
+    `slack` before or behind. n_windows counts an item's near windows, first_word is their first place (not below 0),
+    most the largest share. Items of fewer words have no such window. Rows of equal id and text
+    are one document; NULL and empty texts and items are near nothing.
+    """
+    docs = keyed(docs)
+    items = saved(benchmark_items(items).filter(F.col("n") >= WINDOW), "items")
+    places = items.select("item", F.posexplode("words").alias("p", "term"))
+    terms = saved(places.select("term").distinct(), "terms")
+    windows = saved(rare_pairs(items, saved(term_counts(docs, terms), "counts"), lacking=True), "windows")
+
+    anchors = windows.select("item", F.explode(F.array("a", "b")).alias("p")).distinct()
+    anchors = saved(anchors.join(places, ["item", "p"]), "anchors")
+    found = docs.select("k", F.posexplode(alnum_words("text")).alias("q", "term"))
+    found = found.join(sent_if_small(anchors, F.octet_length("term") + 32), "term")
+    found = saved(found.select("k", "item", "p", (F.col("q") - F.col("p")).alias("shift")).distinct(), "aligned")
+
+    # Alignments at most `slack` apart lie in the same cell of slack + 1 or in neighbours, so no key
+    # has more than slack + 1 of them.
+    pairs = sent_if_small(windows, F.lit(32))
+    cell = F.floor(F.col("shift") / (slack + 1))
+    one = found.join(pairs.withColumnRenamed("a", "p"), ["item", "p"])
+    one = one.select("k", "item", "s", "shift", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
+    other = found.join(pairs.withColumnRenamed("b", "p"), ["item", "p"])
+    other = other.select("k", "item", "s", F.col("shift").alias("apart"), cell.alias("cell"))
+    close = one.join(other, ["k", "item", "s", "cell"]).filter(F.abs(F.col("shift") - F.col("apart")) <= slack)
+    close = close.select("k", "item", "s", "shift").distinct().join(items, "item")
+    window = F.slice("words", F.col("s") + 1, F.lit(WINDOW))
+    found_in = saved(close.groupBy("k").agg(F.collect_list(
+        F.struct("item_id", "item", "s", (F.col("shift") + F.col("s")).alias("at"), F.array_distinct(window).alias("w"))
+    ).alias("c")), "near")
+
+    def held(has: Column, x: Column) -> Column:
+        first = F.greatest(x["at"] - slack, F.lit(0))
+        around = F.slice(has, first + 1, F.greatest(x["at"] + WINDOW + slack - first, F.lit(0)))
+        return F.struct(
+            x["item_id"].alias("item_id"), x["item"].alias("item"), x["s"].alias("s"),
+            F.greatest(x["at"], F.lit(0)).alias("at"),
+            (F.size(F.array_intersect(x["w"], around)) / F.size(x["w"])).alias("share"),
+        )
+
+    texts = docs.join(found_in, "k")
+    rows = texts.select("k", F.explode(let(alnum_words("text"), lambda has: F.transform("c", lambda x: held(has, x)))).alias("m"))
+    rows = rows.select("k", "m.*").filter(F.col("share") >= share - 1e-9)
+    return rows.groupBy("k", "item_id").agg(
+        F.countDistinct("item", "s").alias("n_windows"), F.min("at").cast("long").alias("first_word"), F.max("share").alias("most"),
+    ).select(F.col("k.doc_id").alias("doc_id"), "item_id", "n_windows", "first_word", "most")
