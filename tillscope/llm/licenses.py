@@ -61,6 +61,11 @@ def needed(words: list[str], threshold: float) -> int:
     return math.ceil(threshold * len(words) - 1e-9)
 
 
+def run_length(text: str, threshold: float) -> int:
+    """Words of a run that is compared with the template."""
+    return math.ceil(len([w for w in re.split(NOT_WORD, text.lower()) if w]) / threshold - 1e-9)
+
+
 def _strings(values: list[str]) -> Column:
     return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
@@ -140,7 +145,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_
     repeated; an empty table gives an empty result.
     """
     sets = [(label, template_words(text)) for label, text in templates]
-    lengths = [math.ceil(len([w for w in re.split(NOT_WORD, text.lower()) if w]) / threshold - 1e-9) for _, text in templates]
+    lengths = [run_length(text, threshold) for _, text in templates]
     lowered = only(docs, doc_id=id_col, text=text_col).select(
         "doc_id", ascii_lower(whole_text("text")).alias("lower")
     )

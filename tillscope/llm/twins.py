@@ -34,14 +34,14 @@ FROM docs LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
 
 
 def _license_twin() -> str:
-    from tillscope.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
+    from tillscope.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, run_length, template_words
 
     phrases = ", ".join(f"({i}, string_split('{p}', ' '), '{label}')" for i, (p, label) in enumerate(PHRASES))
-    templates = ", ".join(f"({i}, {template_words(t)!r}, '{label}')" for i, (label, t) in enumerate(TEMPLATES))
+    templates = ", ".join(f"({i}, {template_words(t)!r}, '{label}', {run_length(t, THRESHOLD)})" for i, (label, t) in enumerate(TEMPLATES))
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_LOWER} AS low, {_ALNUM} AS w FROM documents),
 phrases(i, p, label) AS (VALUES {phrases}),
-templates(i, t, label) AS (VALUES {templates}),
+templates(i, t, label, span) AS (VALUES {templates}),
 starts AS (SELECT r, w, unnest(range(0, len(w))) AS s FROM docs),
 places AS (SELECT r, s, label FROM starts JOIN phrases ON w[s + 1] = p[1] AND list_slice(w, s + 1, s + len(p)) = p),
 base AS (SELECT r, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word FROM places GROUP BY r),
@@ -51,7 +51,18 @@ shares AS (
   SELECT r, label, len(list_intersect(list_distinct(b), t)) / len(t) AS share, len(list_intersect(list_distinct(b), t)) AS n, len(t) AS of
   FROM blocks, templates WHERE len(b) >= {THRESHOLD} * len(t)
 ),
-met AS (SELECT r, label, share FROM shares WHERE n >= ceil({THRESHOLD} * of - 1e-9)),
+near AS (
+  SELECT r, i, w, t, span, label, unnest(range(0, len(w))) AS s FROM docs, templates
+  WHERE len(list_intersect(list_distinct(w), t)) >= ceil({THRESHOLD} * len(t) - 1e-9)
+),
+runs AS (
+  SELECT r, label, len(t) AS of, max(len(list_intersect(list_distinct(list_slice(w, s + 1, s + span)), t))) AS n
+  FROM near GROUP BY r, i, label, t
+),
+met AS (
+  SELECT r, label, share FROM shares WHERE n >= ceil({THRESHOLD} * of - 1e-9)
+  UNION ALL SELECT r, label, n / of FROM runs WHERE n >= ceil({THRESHOLD} * of - 1e-9)
+),
 top AS (SELECT r, max(share) AS share FROM met GROUP BY r),
 b AS (SELECT r, string_agg(label, ',' ORDER BY label) AS base_labels FROM (SELECT DISTINCT r, label FROM places) GROUP BY r),
 l AS (
