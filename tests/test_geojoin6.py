@@ -115,3 +115,30 @@ def test_large_blocks_are_shuffled(spark, match):
         assert sorted((r.ip, r.network, r.g) for r in got.collect()) == _expected(blocks, six, "inclusive", match)
     finally:
         spark.conf.set(key, before)
+
+
+def test_longest_match_meets_a_network_once(spark, monkeypatch):
+    from tillscope.operators import geojoin6
+
+    entered = []
+    whole = geojoin6._entries
+    monkeypatch.setattr(geojoin6, "_entries", lambda ranges: entered.append(ranges) or whole(ranges))
+    rows = [("2001:db8::/40", i) for i in (7, 3, 5, None)] + [("2001:db8:0::/40", 4), ("2001:db8::/33", 1), ("2001:db8:1::1/128", 9)]
+    blocks = spark.createDataFrame(rows, "network string, n int")
+    addresses = spark.createDataFrame([("2001:db8:1::1",), ("2001:db8:ff::",), ("2001:db8:1::1",), ("2001:db8:100::",)], "ip string")
+    found = {b: sorted(tuple(r) for r in mixed_join(addresses, blocks, match="longest", bounds=b).collect()) for b in ("inclusive", "strict")}
+    of_40, of_33 = ("2001:db8:0::/40", 4), ("2001:db8::/33", 1)
+    inner, other, outer = "2001:db8:1::1", "2001:db8:ff::", "2001:db8:100::"
+    assert found["inclusive"] == sorted([(inner, "2001:db8:1::1/128", 9)] * 2 + [(other, *of_40), (outer, *of_33)])
+    assert found["strict"] == sorted([(inner, *of_40)] * 2 + [(other, *of_40), (outer, *of_33)])
+    assert [r.count() for r in entered] == [3, 3]
+
+
+def test_texts_of_groups_are_read_above_the_grouping(spark):
+    from tillscope.operators.computed import as_computed
+
+    sums = spark.range(9).selectExpr("CAST(id AS STRING) AS ip", "id AS sump").groupBy("ip").sum("sump").withColumn("long", F.length("ip"))
+    out = as_computed(sums).filter("long = 1 AND ip <> '4'")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Aggregate") and "Filter" not in plan[plan.index("Aggregate") :]
+    assert out.count() == 8 and out.columns == sums.columns

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillscope.functions import ip_to_long
 from tillscope.functions.address6 import cidr6_prefix, ip6_parts, last6, network6
-from tillscope.operators.computed import compute_once
+from tillscope.operators.computed import as_computed, compute_once
 from tillscope.operators.geojoin import BROADCAST_BYTES, _estimated_bytes, block_index, cidr_join
 
 _AREA_BITS, _CELL_BITS = 16, 12
@@ -74,6 +74,10 @@ def cidr6_join(
         raise ValueError(f"unknown match: {match}")
     ranges = _ranges(blocks, network)
     small = _estimated_bytes(ranges) <= broadcast_bytes
+    if match == "longest":
+        # Of the blocks of one network only the least row counts, so a probe meets one row at most.
+        network_of_block = ("_len", "_first_h", "_first_l", "_last_h", "_last_l")
+        ranges = ranges.groupBy(*network_of_block).agg(F.min("_row").alias("_row"))
     # The longest match is looked up once for each different address.
     keys = addresses if match == "all" else addresses.select(high, low).distinct()
     near = keys.join(F.broadcast(_presence(ranges)), _area(high) == F.col("_area"))
@@ -96,6 +100,7 @@ def cidr6_join(
 def mixed_join(addresses: DataFrame, blocks: DataFrame, *, ip: str = "ip", network: str = "network", **options: str) -> DataFrame:
     """Inner join of addresses in text form, of either family, to blocks of either family."""
     columns = [*addresses.columns, *blocks.columns]
+    addresses = as_computed(addresses)
     is_six = F.coalesce(F.col(ip).contains(":"), F.lit(False))
     four = addresses.filter(~is_six).withColumn("_long", ip_to_long(ip))
     four = cidr_join(four, block_index(blocks, network=network), address="_long", **options)

@@ -33,6 +33,7 @@ from tillscope.operators import (
     spend_by_ip_long,
     with_category_total,
 )
+from tillscope.operators.computed import as_computed
 from tillscope.operators.geojoin import block_index
 from tillscope.operators.geojoin6 import mixed_join
 from tillscope.operators.ranking import sort_desc
@@ -292,7 +293,7 @@ def geo_join_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def geo_join_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spenders of both families: those with an even address come from IPv6 as well, where the
     customers own blocks of /40 to /64 that nest by their length."""
-    spend = spend_by_ip(startables.purchases(spark, sf_dir))
+    spend = as_computed(spend_by_ip(startables.purchases(spark, sf_dir)))
     six = F.format_string("2001:db8:%x:%x::%x", F.expr("shiftright(ip_long, 16)"), F.expr("ip_long & 65535"), F.expr("ip_long % 97"))
     spenders = spend.select("ip", "sump").unionByName(
         spend.where("ip_long % 2 = 0").select(six.alias("ip"), "sump")
